@@ -7,13 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import linededup, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_dropped and the hash of the kept text of every document."""
+    kept = linededup.dedup_lines(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=3, min_chars=20, counted=True)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+with lines as (
+  select doc_id, i, line, lower_ascii(trim(line, E' \t\n\x0b\f\r')) as key
+  from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as i from documents)
+), held as (
+  select key, max(doc_id) as keeper from lines where length(key) >= 20 group by key having count(distinct doc_id) >= 3
+)
+select doc_id, count(*) as n_lines, count(keeper) filter (where doc_id <> keeper) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where keeper is null or doc_id = keeper), '')) as kept_sha256
+from lines left join held using (key) group by doc_id
+""".replace("lower_ascii(", "translate(").replace("\\r'))", "\\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from a score of 0.3) of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -32,10 +51,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op8_linededup": op8_linededup,
         "op9_quality": op9_quality,
         "op10_toxicity": op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_linededup": OP8_SQL}
