@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, quality, toxicity
+from . import linededup, minhash, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, class_id (least doc_id of its near-duplicates), kept of every document: five words, similarity 0.8."""
+    found = minhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_dropped and the hash of the kept text of every document."""
     kept = linededup.dedup_lines(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=3, min_chars=20, counted=True)
@@ -51,6 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_minhash": op6_minhash,
         "op8_linededup": op8_linededup,
         "op9_quality": op9_quality,
         "op10_toxicity": op10_toxicity,
