@@ -7,13 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, minhash, quality, toxicity
+from . import linededup, minhash, packing, quality, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_bpe() -> str:
+    """The path of the public word-piece vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document in sequences of at most 2048 ids."""
+    pieces = packing.pack(spark, _table(spark, sf_dir, "documents"), word_bpe(), end=1, capacity=2048)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of 8 and slot, by near equal bytes."""
+    placed = sharding.shard_by_bytes(spark, _table(spark, sf_dir, "documents"), shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id (least doc_id of its near-duplicates), kept of every document: five words, similarity 0.8."""
     found = minhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
@@ -57,6 +76,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_packing": op3_packing,
+        "op4_sharding": op4_sharding,
         "op6_minhash": op6_minhash,
         "op8_linededup": op8_linededup,
         "op9_quality": op9_quality,
