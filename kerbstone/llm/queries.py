@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, minhash, packing, quality, sharding, toxicity
+from . import fingerprint, linededup, minhash, packing, quality, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,33 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and the likenesses."""
+    found = fingerprint.fingerprints(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumns({c: F.round(c, 6) for c in ("near_edited", "near_next")})
+
+
+def _op7_sql() -> str:
+    dense, pairs = fingerprint.DENSE, fingerprint.SIGN // 2
+    digit = "('0x' || substr({0}, {1}, 8))::ubigint::bigint"
+    lanes = [f"sum({digit.format('sha256(p)', 8 * k + 1)}) % 4294967296" for k in range(dense)]
+    lanes += [f"sum((({digit.format('md5(p)', 8 * w + 1)} >> {k}) & 1) * length(p))" for w in (0, 1) for k in range(pairs)] + ["sum(length(p))"]
+    made = "[" + ", ".join(f"({x})::bigint" for x in lanes) + "]"
+    hexed = "array_to_string([lpad(lower(to_hex(v)), 8, '0') for v in {0}], '')"
+    signs = "[(2 * v - {0}[73])::double for v in {0}[9:72]]"
+    near = f"case when {{0}} = {{1}} then 1.0 when {{0}}[73] = 0 or {{1}}[73] = 0 then 0.0 else greatest(0.0, least(1.0, list_inner_product({signs.format('{0}')}, {signs.format('{1}')}) / sqrt(list_inner_product({signs.format('{0}')}, {signs.format('{0}')}) * list_inner_product({signs.format('{1}')}, {signs.format('{1}')})))) end"
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t, coalesce(lag(coalesce(text, '')) over (order by doc_id), max_by(coalesce(text, ''), doc_id) over ()) as nt from documents),
+e as (select doc_id, t, nt, left(t, length(t) - length(t) // 2) || left(nt, length(t) // 2) as edited from d),
+own as (select doc_id, {made} as v from (select doc_id, unnest(string_split(t, chr(10))) as p from e) group by doc_id),
+chg as (select doc_id, {made} as v from (select doc_id, unnest(string_split(edited, chr(10))) as p from e) group by doc_id),
+nxt as (select doc_id, coalesce(lag(v) over (order by doc_id), max_by(v, doc_id) over ()) as v from own)
+select doc_id, length(t)::bigint as n_chars, sha256(edited) as edited_sha256, {hexed.format('own.v')} as fingerprint, {hexed.format('chg.v')} as edited_fingerprint,
+  round({near.format('own.v', 'chg.v')}, 6) as near_edited, round({near.format('own.v', 'nxt.v')}, 6) as near_next
+from e join own using (doc_id) join chg using (doc_id) join nxt using (doc_id)
+"""
+
+
 def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_dropped and the hash of the kept text of every document."""
     kept = linededup.dedup_lines(spark, _table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=3, min_chars=20, counted=True)
@@ -79,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": op3_packing,
         "op4_sharding": op4_sharding,
         "op6_minhash": op6_minhash,
+        "op7_fingerprint": op7_fingerprint,
         "op8_linededup": op8_linededup,
         "op9_quality": op9_quality,
         "op10_toxicity": op10_toxicity,
@@ -86,4 +114,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_linededup": OP8_SQL}
+    return {"op7_fingerprint": _op7_sql(), "op8_linededup": OP8_SQL}
