@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, linededup, minhash, packing, quality, sharding, toxicity
+from . import fingerprint, licences, linededup, minhash, packing, quality, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line, paragraph or text that names a licence: doc_id, level, position, licence, dice, segment."""
+    return licences.scan(_table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of every document in sequences of at most 2048 ids."""
     pieces = packing.pack(spark, _table(spark, sf_dir, "documents"), word_bpe(), end=1, capacity=2048)
@@ -103,6 +108,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_licences": op1_licences,
         "op3_packing": op3_packing,
         "op4_sharding": op4_sharding,
         "op6_minhash": op6_minhash,
@@ -114,4 +120,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_fingerprint": _op7_sql(), "op8_linededup": OP8_SQL}
+    return {"op1_licences": licences.scan_sql(0.8), "op7_fingerprint": _op7_sql(), "op8_linededup": OP8_SQL}
