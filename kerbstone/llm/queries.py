@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, licences, linededup, minhash, packing, quality, sharding, toxicity
+from . import fingerprint, licences, linededup, minhash, mixing, packing, quality, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,17 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: Powers of the actual shares that are op5's targets.
+TEMPER = {"source": 0.8, "lang": 0.8, "topic": 0.95}
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cell, tokens, probability (six digits) and whether it is kept."""
+    found = mixing.mixed(spark, _table(spark, sf_dir, "documents"), temper=TEMPER)
+    named = [F.col(f"__{m}").alias(m) for m in mixing.MARGINS]
+    return found.select("doc_id", *named, F.col("__tokens").alias("tokens"), F.round("__p", 6).alias("probability"), F.col("__kept").alias("kept"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, class_id (least doc_id of its near-duplicates), kept of every document: five words, similarity 0.8."""
     found = minhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
@@ -111,6 +122,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_licences": op1_licences,
         "op3_packing": op3_packing,
         "op4_sharding": op4_sharding,
+        "op5_mixing": op5_mixing,
         "op6_minhash": op6_minhash,
         "op7_fingerprint": op7_fingerprint,
         "op8_linededup": op8_linededup,
@@ -120,4 +132,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licences": licences.scan_sql(0.8), "op7_fingerprint": _op7_sql(), "op8_linededup": OP8_SQL}
+    return {"op1_licences": licences.scan_sql(0.8), "op5_mixing": mixing.mixed_sql(TEMPER), "op7_fingerprint": _op7_sql(), "op8_linededup": OP8_SQL}
