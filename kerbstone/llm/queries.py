@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, licences, linededup, minhash, mixing, packing, quality, sharding, toxicity
+from . import fingerprint, licences, linededup, minhash, mixing, packing, quality, sharding, toxicity, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,24 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents"), threshold=0.8)
 
 
+def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links of cosine 0.95, component and whether it is kept."""
+    found = vectors.near_duplicate_vectors(spark, _table(spark, sf_dir, "embeddings"), threshold=0.95)
+    return found.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+OP2_SQL = """
+with recursive v as materialized (
+  select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link as materialized (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.95
+), reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join link l on r.b = l.a),
+least as (select a, min(b) as component_id from reach group by a)
+select vec_id, (select count(*) from link where a = vec_id)::bigint as n_links, component_id, vec_id = component_id as kept from embeddings join least on a = vec_id
+"""
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of every document in sequences of at most 2048 ids."""
     pieces = packing.pack(spark, _table(spark, sf_dir, "documents"), word_bpe(), end=1, capacity=2048)
@@ -120,6 +138,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_licences": op1_licences,
+        "op2_vectors": op2_vectors,
         "op3_packing": op3_packing,
         "op4_sharding": op4_sharding,
         "op5_mixing": op5_mixing,
@@ -132,4 +151,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licences": licences.scan_sql(0.8), "op5_mixing": mixing.mixed_sql(TEMPER), "op7_fingerprint": _op7_sql(), "op8_linededup": OP8_SQL}
+    return {"op1_licences": licences.scan_sql(0.8), "op2_vectors": OP2_SQL, "op5_mixing": mixing.mixed_sql(TEMPER), "op7_fingerprint": _op7_sql(), "op8_linededup": OP8_SQL}
