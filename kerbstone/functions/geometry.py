@@ -79,11 +79,19 @@ def _along(line: Column) -> Column:
 
 def interpolate(line: Column, distance: Column, normalised: bool = False) -> Column:
     """The point at a distance along the line (or a share of it), within its ends."""
-    total = length(line)
-    want = F.greatest(F.lit(0.0), F.least(total, distance * total if normalised else distance))
-    last = F.element_at(F.filter(_along(line), lambda s: s["d"] <= want), -1)
-    share = F.coalesce(F.least(F.lit(1.0), (want - last["d"]) / F.nullif(last["w"], F.lit(0.0))), F.lit(0.0))
-    return F.struct((last["ax"] + share * (last["bx"] - last["ax"])).alias("x"), (last["ay"] + share * (last["by"] - last["ay"])).alias("y"))
+
+    def at(along: Column) -> Column:
+        total = F.element_at(along, -1)["d"] + F.element_at(along, -1)["w"]
+        want = F.greatest(F.lit(0.0), F.least(total, distance * total if normalised else distance))
+        return F.struct(want.alias("want"), F.element_at(F.filter(along, lambda s: s["d"] <= want), -1).alias("s"))
+
+    def point(x: Column) -> Column:
+        s = x["s"]
+        share = F.coalesce(F.least(F.lit(1.0), (x["want"] - s["d"]) / F.nullif(s["w"], F.lit(0.0))), F.lit(0.0))
+        return F.struct((s["ax"] + share * (s["bx"] - s["ax"])).alias("x"), (s["ay"] + share * (s["by"] - s["ay"])).alias("y"))
+
+    # an array of one binds a name, so that the walk along the line is made once
+    return F.transform(F.transform(F.array(_along(line)), at), point)[0]
 
 
 def nearest_share(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
