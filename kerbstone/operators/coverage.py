@@ -114,4 +114,6 @@ def greedy_kept(rows: DataFrame, group: str, order: list[str], pairs: DataFrame,
         return pd.DataFrame({group: [key[0]] * len(out), "id": out})
 
     kind = f"{group} {rows.schema[group].dataType.simpleString()}, id {rows.schema['id'].dataType.simpleString()}"
-    return rows.groupBy(group).cogroup(pairs.groupBy(group)).applyInPandas(run, kind)
+    # new names for both sides' columns: they may come from the same rows
+    near = pairs.select(*[F.col(c).alias("__g" if c == group else c) for c in pairs.columns])
+    return rows.toDF(*rows.columns).groupBy(group).cogroup(near.toDF(*near.columns).groupBy("__g")).applyInPandas(run, kind)

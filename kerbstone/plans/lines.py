@@ -273,3 +273,45 @@ def linref_two_pass(spark: SparkSession, d: str) -> DataFrame:
 
 SQL["linref_two_pass"] = """select row_id::bigint as row_id, ok, reason, method, err::double as length_err, feet::bigint as matched_ft, x0::double as x0, x1::double as x1 from (values
 (1, true, 'ok', 'cross-streets', 0.0, 328, 0.0, 100.0), (2, true, 'ok', 'one-ended walk', 0.0, 328, 100.0, 199.97)) t(row_id, ok, reason, method, err, feet, x0, x1)"""
+
+
+@query
+def simplify(spark: SparkSession, d: str) -> DataFrame:
+    """Points that stay of every line at a tolerance of 0.2; the first and the last always do."""
+    from ..functions.simplify import simplified
+
+    pairs = F.sequence(F.lit(0), F.lit(31))
+    xs, ys = F.transform(pairs, lambda i: F.col("embedding")[2 * i].cast("double")), F.transform(pairs, lambda i: F.col("embedding")[2 * i + 1].cast("double"))
+    return table(spark, d, "embeddings").select("vec_id", F.explode(simplified(0.2)(xs, ys)).alias("point"))
+
+
+def _bikes(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as bikeways of two cities and four sources."""
+    from ..functions import constants as K
+
+    k = F.col("s_suppkey")
+    y = (F.pmod(k, F.lit(10)) * 40 + F.floor(k / 10) % 3 * 8).cast("double")
+    return table(spark, d, "supplier").select(
+        k.cast("long").alias("id"), F.when(k % 2 == 0, "Berkeley").otherwise("Oakland").alias("city"), F.element_at(F.array(*map(F.lit, K.MERGE_ORDER)), (F.floor(k / 10) % 4 + 1).cast("int")).alias("source"),
+        F.lit("existing").alias("status"), F.when(F.col("s_nationkey") % 3 == 0, "I").when(F.col("s_nationkey") % 3 == 1, "II").otherwise("III").alias("bikeway_class"), F.col("s_name").alias("street"),
+        F.array(F.struct(F.lit(0.0).alias("x"), y.alias("y")), F.struct((F.lit(60.0) + F.col("s_nationkey") * 5).alias("x"), y.alias("y"))).alias("pts"),
+    )
+
+
+@query
+def greedy_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Bikeways that no section and no better one kept before them accounts for."""
+    from ..operators import bikeways
+
+    bikes = _bikes(spark, d)
+    sections = bikes.where("id % 7 = 0").select((F.col("id") + 100000).alias("id"), "city", "pts")
+    return bikeways.off_street(bikes, bikeways.tagged(sections, bikes)).select("id", "city", "tier", "miles")
+
+
+@query
+def merged_miles(spark: SparkSession, d: str) -> DataFrame:
+    """Miles that each source adds beyond 15 of those trusted more."""
+    from ..operators import bikeways
+
+    found = bikeways.merged_miles(_bikes(spark, d).where("city = 'Berkeley'"))
+    return found.select("source", F.round("alone", 6).alias("alone"), F.round("adds", 6).alias("adds"), F.round("running", 6).alias("running"))

@@ -83,3 +83,44 @@ def test_geojson_and_csv(spark, tmp_path):
     assert [(r.ord, len(r.parts), r.properties["n"]) for r in rows] == [(0, 1, "a"), (2, 2, "b")]
     (tmp_path / "a.csv").write_text("x,y\n01,a b\n")
     assert features.read_csv(spark, str(tmp_path / "a.csv"), ["x", "y"]).first().x == "01"
+
+
+def test_simplify_keeps_what_is_far():
+    from kerbstone.functions.simplify import kept
+
+    x, y = np.array([0.0, 1, 2, 3, 4]), np.array([0.0, 0.01, 0, 1, 0])
+    assert kept(x, y, 0.1).tolist() == [0, 2, 3, 4]
+
+
+def test_sinks(spark, tmp_path):
+    import json
+
+    from kerbstone.sources import sinks
+
+    rows = spark.createDataFrame([(1, "a", [[(1.0, 2.0), (3.0, 4.0)]]), (2, None, [])], "n int, s string, parts array<array<struct<x:double,y:double>>>")
+    whole = json.loads(sinks.feature_collection(rows, "parts", ["n"]).first().value)
+    assert [f["geometry"] for f in whole["features"]] == [{"type": "LineString", "coordinates": [[1, 2], [3, 4]]}, None] and whole["features"][1]["properties"] == {"n": 2, "s": None}
+    sinks.write_csv(rows, ["s", "missing"], str(tmp_path / "c"))
+    assert spark.read.csv(str(tmp_path / "c"), header=True).columns == ["s", "missing"]
+    assert sinks.page("<script>__PAYLOAD__</script>", {"a": "</script>"}) == '<script>{"a":"<\\/script>"}</script>'
+
+
+def test_streamed_gaps(spark, tmp_path):
+    from kerbstone.streaming.gaps import gap_sessions
+
+    path = str(tmp_path / "in")
+    spark.sql("select 1 as k, timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, h) as ts from values (0), (3), (40), (45), (500) t(h)").write.parquet(path)
+    found = gap_sessions(spark.readStream.schema("k int, ts timestamp").parquet(path), ["k"], "ts")
+    q = found.writeStream.outputMode("append").format("memory").queryName("gaps").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r.n for r in spark.sql("select n from gaps").collect()) == [2, 2]
+
+
+def test_bikeway_sources(spark):
+    from kerbstone.operators import bikeways
+
+    line = [(0.0, 0.0), (1609.344, 0.0)]
+    rows = spark.createDataFrame([("MAIN ST", "A", "B", "2.3A", "4", "2010", line), ("X", "A", "B", "0", "", "0", line)], "ROADWAY string, BEGINNING string, ENDING string, EXISTINGCL string, PROPOSEDCL string, YEARCURREN string, pts array<struct<x:double,y:double>>")
+    got = sorted((r.status, r.bikeway_class, r.class_secondary, r.street, r.miles, r.year) for r in bikeways.from_network(rows).collect())
+    assert got == [("existing", "II", "IIIA", "Main St", 1.0, "2010"), ("proposed", "IV", None, "Main St", 1.0, None)]
