@@ -21,6 +21,7 @@ doc_id; rows that share a doc_id have one class; long texts are read whole; an e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -146,31 +147,57 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, similarity) of the ``pairs`` (a, b) of document ids whose texts are similar enough."""
     ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    # one text per id: rows that share an id and differ in text take the least text
-    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
+    texts = _texts(docs, ids)
     both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, similarity double").where(F.col("similarity") >= threshold)
 
 
-def _cross(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block pair that are in different components and agree on enough of the signature."""
-    need = COMPONENTS * THRESHOLD - 4 * (COMPONENTS * THRESHOLD * (1 - THRESHOLD)) ** 0.5
-    rows = rows.drop_duplicates("id")
-    ids, comp, block = rows.id.to_numpy(), rows.component.to_numpy(), rows.block.to_numpy()
-    sig = np.frombuffer(b"".join(rows.sig), np.uint32).reshape(-1, COMPONENTS)
-    first = rows.bi.iloc[0] == rows.bj.iloc[0]
-    out_a, out_b = [], []
-    mine = np.flatnonzero(block == rows.bi.iloc[0])
-    other = np.flatnonzero(block == rows.bj.iloc[0])
-    for k in mine:
-        there = other[(comp[other] != comp[k]) & ((ids[other] > ids[k]) if first else np.ones(len(other), bool))]
-        if len(there):
-            good = there[(sig[there] == sig[k]).sum(1) >= need]
-            out_a += [min(ids[k], x) for x in ids[good]]
-            out_b += [max(ids[k], x) for x in ids[good]]
-    return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+def _cross(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Links between components among the members of two blocks: exact similarities, and a spanning forest of the links.
+
+    A multiset is the set of its shingles numbered by occurrence, so the intersections are products of 0/1 matrices,
+    taken over the elements that several members share, some columns at a time.
+    """
+    rows = rows.drop_duplicates("id").sort_values("id", ignore_index=True)
+    ids, comp = rows.id.to_numpy(), rows.component.to_numpy()
+    data, at = utf8_column(pa.array(rows.text, pa.large_string()))
+    found = []
+    for low, high in chunks(at):
+        shingle, doc, count = counted(Words(data[at[low] : at[high]], at[low : high + 1] - at[low]))
+        nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        found.append((mix(np.repeat(shingle, count) + nth.astype(np.uint64) * _GOLD), np.repeat(doc, count) + low))
+    element, doc = (np.concatenate(x) for x in zip(*found, strict=True))
+    total = np.bincount(doc, minlength=len(ids)).astype(np.float64)
+    _, column, holders = np.unique(element, return_inverse=True, return_counts=True)
+    shared = holders[column] > 1
+    place = np.cumsum(holders > 1) - 1
+    column, doc = place[column[shared]], doc[shared]
+    order = np.argsort(column, kind="stable")
+    column, doc = column[order], doc[order]
+    both = np.zeros((len(ids), len(ids)), np.float64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        part = slice(*np.searchsorted(column, [low, low + 4096]))
+        held = np.zeros((len(ids), 4096), np.float32)
+        held[doc[part], column[part] - low] = 1
+        both += held @ held.T
+    similar = both / np.maximum(total[:, None] + total[None, :] - both, 1) >= threshold
+    similar &= comp[:, None] != comp[None, :]
+    names, start = np.unique(comp, return_inverse=True)
+    up = list(range(len(names)))
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(similar)), strict=True):
+        p, q = root(start[i]), root(start[j])
+        if p != q:
+            up[max(p, q)] = min(p, q)
+            out.append((ids[i], ids[j]))
+    return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -178,9 +205,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialise(spark, docs.mapInArrow(_sign, "doc_id long, h1 long, h2 long, n_words long, sig binary"), "signatures")
-    same = materialise(spark, signed.groupBy("h1", "h2", "n_words").agg(F.min("doc_id").alias("id"), F.min_by("sig", "doc_id").alias("sig")), "representatives")
+    same = signed.groupBy("h1", "h2", "n_words").agg(F.min("doc_id").alias("id"), F.min_by("sig", "doc_id").alias("sig"))
+    same = materialise(spark, same, "representatives")
     reps = same.where("n_words > 0").select("id", "sig")
-
     bands = materialise(spark, reps.mapInArrow(_bands, "key long, id long"), "bands")
     buckets = materialise(spark, bands.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1"), "buckets")
     members = materialise(spark, bands.join(buckets.select("key", "leader"), "key"), "members")
@@ -189,10 +216,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     comp = materialise(spark, connected_components(spark, links), "components")
 
     placed = members.join(comp.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n")).where("c0 <> c1").select("key", "n")
-    rest = _across(spark, materialise(spark, placed.join(mixed, "key"), "mixed"), reps)
-    rest = materialise(spark, rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    more = materialise(spark, verified(spark, rest, docs, threshold).select("a", "b"), "links")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who")).where("c0 <> c1")
+    # buckets of the same members are one
+    once = mixed.groupBy("n", "who").agg(F.min("key").alias("key")).select("key", "n")
+    more = materialise(spark, _across(materialise(spark, placed.join(once, "key"), "mixed"), docs, threshold), "links")
     if more.limit(1).count():
         comp = materialise(spark, connected_components(spark, links.unionByName(more)), "components")
 
@@ -200,24 +227,30 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     return signed.select("doc_id", "h1", "h2", "n_words").join(classes, ["h1", "h2", "n_words"]).select("doc_id", "class_id", "n_words")
 
 
-def _across(spark: SparkSession, mixed: DataFrame, reps: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) between components that share a bucket, from blocks of its members.
+def _across(mixed: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between components that share a bucket, from blocks of its members.
 
-    Members are dealt to blocks by component, so that a large component fills blocks of its own; two blocks meet
-    unless both hold the same single component. A bucket of one block is one task's work.
+    Members of a component of at least a block are dealt to blocks of its own, and two blocks that hold the same single
+    component don't meet. So a large group of copies with a few strangers costs as many block pairs as it has blocks.
     """
-    n_blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    dealt = mixed.withColumn("blocks", n_blocks)
-    # small components share blocks by the component's hash; members of large ones spread over blocks of their own
-    size = dealt.groupBy("key", "component").agg(F.count("*").alias("size"))
-    dealt = dealt.join(size, ["key", "component"]).withColumn(
-        "block",
-        F.when(F.col("size") >= BLOCK, F.concat_ws("-", "component", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK)).cast("string")))
-        .otherwise(F.concat_ws("+", F.pmod(F.xxhash64("component"), F.col("blocks")).cast("string"))),
-    )
+    size = mixed.groupBy("key", "component").agg(F.count("*").alias("size"))
+    own = F.concat_ws("-", "component", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK)).cast("string"))
+    shared = F.concat(F.lit("+"), F.pmod(F.xxhash64("component"), F.ceil(F.col("n") / BLOCK)).cast("string"))
+    dealt = mixed.join(size, ["key", "component"]).withColumn("block", F.when(F.col("size") >= BLOCK, own).otherwise(shared))
     blocks = dealt.groupBy("key", "block").agg(F.min("component").alias("c0"), F.max("component").alias("c1"))
-    left, right = blocks.select("key", F.col("block").alias("bi"), F.col("c0").alias("l0"), F.col("c1").alias("l1")), blocks.select("key", F.col("block").alias("bj"), F.col("c0").alias("r0"), F.col("c1").alias("r1"))
+    left = blocks.select("key", F.col("block").alias("bi"), F.col("c0").alias("l0"), F.col("c1").alias("l1"))
+    right = blocks.select("key", F.col("block").alias("bj"), F.col("c0").alias("r0"), F.col("c1").alias("r1"))
     meet = left.join(right, "key").where("bi <= bj and not (l0 = l1 and r0 = r1 and l0 = r0)").select("key", "bi", "bj")
     sides = meet.withColumn("block", F.explode(F.array_distinct(F.array("bi", "bj"))))
-    rows = sides.join(dealt.select("key", "block", "id", "component"), ["key", "block"]).join(reps, "id").select("key", "bi", "bj", "block", "id", "component", "sig")
-    return rows.groupBy("key", "bi", "bj").applyInPandas(_cross, "a long, b long").distinct()
+    rows = sides.join(dealt.select("key", "block", "id", "component"), ["key", "block"])
+    texts = _texts(docs, mixed.select("id").distinct()).withColumnRenamed("doc_id", "id")
+    rows = rows.join(texts, "id").select("key", "bi", "bj", "id", "component", "text")
+    return rows.groupBy("key", "bi", "bj").applyInPandas(partial(_cross, threshold=threshold), "a long, b long").distinct()
+
+
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, text) of the ``ids`` (one column), the least text where rows share an id."""
+    ids = ids.toDF("doc_id")
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    return texts.groupBy("doc_id").agg(F.min("text").alias("text"))
