@@ -15,6 +15,7 @@ pieces as needed; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from collections import defaultdict
@@ -32,18 +33,31 @@ CAPACITY = 2048
 SLACK = 0.02
 #: Workers whose left-over pieces are packed together.
 WORKERS = 256
-#: Chunks of text whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Chunks of text whose ids a worker remembers, the first ones that it meets.
+REMEMBERED = 600_000
 
 _ODD_WHITE = re.compile("[\x1c-\x1f\x85]")
+#: Chunks of these characters are normalised by lower() alone and split as the tokenizer's own pattern does; the rest are left to it.
+_PLAIN = re.compile("[!-~\u00a1\u00ab\u00bb\u00bf\u00c0-\u012f\u0131-\u0148\u014a-\u017e\u2013\u2014\u2018-\u201d\u2026]*")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+_KEPT_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _tokenizers: dict[str, Tokens] = {}
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself if it is printable, else the next free one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
+
+
 class Tokens(dict):
     """Ids (little-endian unsigned 32-bit) of a text between white space, encoded once.
 
     The tokenizer's own splitter never joins characters across white space and its normaliser works on each character run,
-    so the ids of a text are those of its chunks one after another.
+    so the ids of a text are those of its chunks one after another. Where the tokenizer's steps are the known ones (NFC, lower
+    case, the pattern above, bytes as letters), a new chunk of plain characters goes to the model piece by piece,
+    which spares the steps; any other chunk, and any other tokenizer's, is encoded by the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -51,17 +65,31 @@ class Tokens(dict):
 
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True
+        made = json.loads(self.encoder.to_str())
+        steps = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])], [x["type"] for x in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        pattern = ((made["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
+        self.known = steps == (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) and pattern == _KEPT_PATTERN and not made["post_processor"]
+        self.letters = _byte_letters()
 
     def ids(self, text: str) -> bytes:
         found = self.encoder.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(found)}I", *found)
 
+    def piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        found = [t.id for t in self.encoder.model.tokenize(letters)]
+        return struct.pack(f"<{len(found)}I", *found)
+
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(chunk) > 64:
-            return self.ids(chunk)
-        self[chunk] = out = self.ids(chunk)
+        if not self.known or not _PLAIN.fullmatch(chunk):
+            out = self.ids(chunk)
+        elif (low := chunk.lower()) != chunk:
+            out = self[low]
+        else:
+            pieces = _PIECES.findall(chunk)
+            out = self.piece(chunk) if len(pieces) == 1 else b"".join([self[p] if p.isalpha() else self.piece(p) for p in pieces])
+        if len(self) < REMEMBERED and len(chunk) <= 64:
+            self[chunk] = out
         return out
 
     def encode(self, text: str) -> bytes:
