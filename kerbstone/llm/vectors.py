@@ -2,7 +2,7 @@
 
 1. Equal vectors become one representative with a count.
 2. Representatives are dealt to shards: the cells of spherical k-means centres (fitted on a bounded hash sample), each
-   representative to its ``overlap`` nearest centres, so shards overlap.
+   representative to its nearest centres, so shards overlap: ``overlap`` and one more for each power of ten of centres.
 3. Every shard builds its part of the graph: a node's candidates are its nearest members and some random ones, robustly
    pruned (a candidate goes if one already taken is closer to it, by the factor ALPHA, than the node is).
 4. The shards' adjacency lists of a node are united.
@@ -11,8 +11,9 @@
    gives a spanning forest of the links it found, so its rows never outgrow its members.
 6. The links' connected components are what range expansion reaches across shards. Within each component the cosines of
    its members are verified in blocks, which counts every member's links; no pair leaves a task.
-7. Recall is audited against brute force for a bounded sample of queries against all rows; below AUDIT it is all done
-   again with more overlap.
+7. Recall is audited against brute force for a bounded sample of queries against all rows, a query counting as much as
+   any other however many links it has; below ``audit`` it is all done again with more overlap, and after the last
+   overlap by comparing all blocks of representatives with each other, which misses nothing.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of
 different lengths don't link; equal vectors link; rows that share a vec_id are rows of their own and link if similar;
@@ -51,8 +52,11 @@ class Graph:
     beam: int = 32
     entries: int = 24
     block: int = 1024
-    audit_queries: int = 200
+    audit_queries: int = 2000
     audit: float = 0.95
+    #: True links up to which an audited query is of a small group.
+    small: int = 8
+    most_overlap: int = 16
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,22 +283,30 @@ def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, threshold: f
     rows = materialise(spark, vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(_clean, "vec_id long, dim int, vec binary"), "vectors")
     usable = rows.where(F.col("vec").isNotNull())
     reps = materialise(spark, usable.groupBy("vec", "dim").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")).select("id", "dim", "vec", "n"), "representatives")
-    overlap = how.overlap
+    centres = _fit_centres(reps, how)
+    overlap = how.overlap + _more_overlap(centres)
     while True:
-        counts, comp = _linked(spark, reps, threshold, how, overlap)
-        recall = audit(spark, reps, counts, threshold, how.audit_queries)
-        if recall >= how.audit or overlap >= 8:
+        counts, comp = _linked(spark, reps, _shard_links(spark, reps, centres, threshold, how, overlap), threshold, how)
+        if audit(spark, reps, counts, threshold, how.audit_queries, how.small) >= how.audit:
+            break
+        if overlap >= how.most_overlap:
+            counts, comp = _linked(spark, reps, _all_links(reps, threshold, how), threshold, how)
             break
-        overlap *= 2
+        overlap = min(2 * overlap, how.most_overlap)
     labelled = reps.join(comp.withColumnRenamed("node", "id"), "id", "left").join(counts, "id", "left")
     known = labelled.select("vec", "dim", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     out = usable.join(known, ["vec", "dim"]).select("vec_id", "n_links", "component_id")
     return out.unionByName(rows.where(F.col("vec").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
 
 
-def _linked(spark: SparkSession, reps: DataFrame, threshold: float, how: Graph, overlap: int) -> tuple[DataFrame, DataFrame]:
-    """((id, links), (node, component)) of the representatives that link."""
-    centres = _fit_centres(reps, how)
+def _more_overlap(centres: dict[int, np.ndarray]) -> int:
+    """One for each power of ten of centres, begun ones included: the more cells, the more borders a pair may lie across."""
+    return max([len(str(len(c) - 1)) for c in centres.values() if len(c) > 1], default=0)
+
+
+def _shard_links(spark: SparkSession, reps: DataFrame, centres: dict[int, np.ndarray], threshold: float, how: Graph, overlap: int) -> DataFrame:
+    """(a, b): spanning forests of the links that the shards find."""
+    centres = dict(centres)
     members = materialise(spark, _deal(reps, centres, overlap), "members")
     for _ in range(4):
         if not _dense(members, reps, centres, how):
@@ -303,24 +315,55 @@ def _linked(spark: SparkSession, reps: DataFrame, threshold: float, how: Graph,
     lists = members.groupBy("shard").applyInPandas(_build(how), "id long, next array<long>")
     united = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next"))
     united = materialise(spark, united, "adjacency")
-    links = members.join(united, "id").groupBy("shard").applyInPandas(_search(how, threshold), "a long, b long")
+    return members.join(united, "id").groupBy("shard").applyInPandas(_search(how, threshold), "a long, b long")
+
+
+def _forest(threshold: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """(a, b): a spanning forest of the links between two blocks, or within one."""
+        bi, bj = rows.bi.iloc[0], rows.bj.iloc[0]
+        left, right = rows[rows.block == bi], rows[rows.block == bj]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        a, b = np.nonzero(matrix(left.vec) @ matrix(right.vec).T >= threshold)
+        ids = np.concatenate([left.id.to_numpy(np.int64), right.id.to_numpy(np.int64)])
+        forest = np.array(_spanning(len(ids), a, b if bi == bj else b + len(left)), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": ids[forest[:, 0]], "b": ids[forest[:, 1]]})
+
+    return run
+
+
+def _pairs(dealt: DataFrame) -> DataFrame:
+    """Every row of ``dealt`` (block, blocks, ...) once for each pair of blocks (bi, bj) that its block is in."""
+    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("bi"), F.greatest(k, F.col("block")).alias("bj")))
+    return dealt.select("*", F.explode(others).alias("pair")).select("*", "pair.bi", "pair.bj")
+
+
+def _all_links(reps: DataFrame, threshold: float, how: Graph) -> DataFrame:
+    """(a, b): spanning forests of the links of all pairs of blocks of a length; as many block pairs as the rows' square asks."""
+    size = reps.groupBy("dim").agg(F.ceil(F.count("*") / (2 * how.block)).cast("int").alias("blocks"))
+    dealt = reps.join(F.broadcast(size), "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    return _pairs(dealt).select("dim", "bi", "bj", "block", "id", "vec").groupBy("dim", "bi", "bj").applyInPandas(_forest(threshold), "a long, b long")
+
+
+def _linked(spark: SparkSession, reps: DataFrame, links: DataFrame, threshold: float, how: Graph) -> tuple[DataFrame, DataFrame]:
+    """((id, links), (node, component)) of the representatives that link."""
     comp = materialise(spark, connected_components(spark, links), "components")
     placed = comp.select(F.col("node").alias("id"), "component").join(reps.select("id", "vec", "n"), "id")
     size = placed.groupBy("component").agg(F.ceil(F.count("*") / how.block).cast("int").alias("blocks"))
     dealt = placed.join(size, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("bi"), F.greatest(k, F.col("block")).alias("bj")))
-    sides = dealt.select("*", F.explode(others).alias("pair")).select("component", "pair.bi", "pair.bj", "block", "id", "vec", "n")
+    sides = _pairs(dealt).select("component", "bi", "bj", "block", "id", "vec", "n")
     counted = sides.groupBy("component", "bi", "bj").applyInPandas(_count(threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("links"))
     return materialise(spark, counted, "counts"), comp
 
 
-def audit(spark: SparkSession, reps: DataFrame, counts: DataFrame, threshold: float, queries: int) -> float:
-    """Share of the links of a bounded sample of representatives that were found, by brute force against all rows.
+def audit(spark: SparkSession, reps: DataFrame, counts: DataFrame, threshold: float, queries: int, small: int = 8) -> float:
+    """Mean share of a query's links that were found, by brute force of a bounded sample of all representatives against all rows.
 
-    Half the sample are representatives with links found, if there are such; the others are any.
+    The lesser of the means over all queries that have links and over those that have at most ``small``, so that neither
+    a large group's links nor its members hide what small groups lose.
     """
-    having = counts.select("id").orderBy(F.xxhash64("id", F.lit(3))).limit(queries // 2)
-    picked = reps.select("id").orderBy(F.xxhash64("id", F.lit(5))).limit(queries - queries // 2).unionByName(having).distinct()
+    picked = reps.select("id").orderBy(F.xxhash64("id", F.lit(5))).limit(queries)
     sample = reps.join(F.broadcast(picked), "id").join(counts, "id", "left").select("id", "dim", "vec", F.coalesce("links", F.lit(0)).alias("links")).collect()
     if not sample:
         return 1.0
@@ -333,13 +376,14 @@ def audit(spark: SparkSession, reps: DataFrame, counts: DataFrame, threshold: fl
             vec = batch.column("vec").to_pylist()
             for d in np.unique(dim):
                 mine = [k for k, q in enumerate(sent.value) if q[1] == d]
-                there = np.flatnonzero(dim == d)
-                if mine and len(there):
+                for there in np.array_split(np.flatnonzero(dim == d), -(-len(dim) // 1000)) if mine else ():
+                    if not len(there):
+                        continue
                     close = matrix([sent.value[k][2] for k in mine]) @ matrix([vec[i] for i in there]).T >= threshold
                     close &= np.array([sent.value[k][0] for k in mine])[:, None] != ids[there][None, :]
                     total[mine] += close @ n[there]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["k", "n"])
 
     got = {r["k"]: r["n"] for r in reps.select("id", "dim", "vec", "n").mapInArrow(run, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()}
-    true = sum(got.values())
-    return 1.0 if not true else sum(min(got.get(k, 0), r["links"]) for k, r in enumerate(sample)) / true
+    shares = [(n, min(n, sample[k]["links"]) / n) for k, n in got.items() if n]
+    return min((float(np.mean(s)) for s in ([f for _, f in shares], [f for n, f in shares if n <= small]) if s), default=1.0)

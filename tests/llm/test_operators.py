@@ -267,6 +267,31 @@ def test_vectors_against_brute_force(spark):
     assert [r.n_links for r in got if r.vec_id in (905, 906)] == [2, 2, 2]
 
 
+def test_vector_audit_sees_small_groups(spark):
+    rng = np.random.default_rng(8)
+    pairs = rng.normal(size=(100, 64))
+    x = np.concatenate([pairs, pairs + 0.02 * rng.normal(size=(100, 64)), rng.normal(size=64) + 0.02 * rng.normal(size=(300, 64))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    reps = spark.createDataFrame([(i, 64, v.tobytes(), 1) for i, v in enumerate(x)], "id long, dim int, vec binary, n long")
+    hot = spark.createDataFrame([(i, 299) for i in range(200, 500)], "id long, links long")  # every pair is lost
+    assert vectors.audit(spark, reps, hot, 0.95, 400) < 0.5
+    assert vectors.audit(spark, reps, hot.unionByName(spark.createDataFrame([(i, 1) for i in range(200)], "id long, links long")), 0.95, 400) == 1.0
+
+
+def test_vectors_are_compared_exactly_where_recall_stays_low(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(500, 16))
+    x = np.concatenate([x, x + 0.25 * rng.normal(size=x.shape)])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    # a graph that finds few links, and a bar that no recall reaches
+    poor = vectors.Graph(shard_rows=20, overlap=1, nearest=1, random=0, degree=1, beam=1, entries=1, block=64, audit=1.01)
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicate_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), how=poor).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    close = u @ u.T >= 0.95
+    np.fill_diagonal(close, False)
+    assert got == dict(enumerate(close.sum(1).tolist()))
+
+
 def test_empty_tables(none, spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
