@@ -39,11 +39,11 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the least doc_id) of each group of near-duplicates; rows that repeat that id stay one."""
-    kept = minhash.near_duplicates(spark, docs).where("doc_id = class_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = materialise(spark, kept, "kept")
+    """One row (the first of the least doc_id) of each group of near-duplicates, whether or not rows share or lack an id."""
+    rows = minhash.numbered(spark, docs)
+    kept = materialise(spark, minhash.near_duplicates(spark, rows).where("kept").select(minhash.ROW), "kept")
     few = kept.count() <= minhash.BROADCAST_IDS
-    return docs.join(F.broadcast(kept) if few else kept, F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
+    return rows.join(F.broadcast(kept) if few else kept, minhash.ROW, "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

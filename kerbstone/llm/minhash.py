@@ -14,8 +14,10 @@ on enough components (four standard errors under the threshold) are compared exa
 anew. So pairs that a bucket holds are left out only where both are already in one component.
 
 Words are runs of characters other than ASCII white space, A-Z in lower case. A text of one to four words is one shingle.
-Defined results: null, empty and white texts have no words and are one class; repeated rows and ties fall to the least
-doc_id; rows that share a doc_id have one class; long texts are read whole; an empty table gives no rows.
+Every row has a number of its own, by which it is signed, linked and kept. Defined results: null, empty and white texts
+have no words and are one class; a class is named by its least doc_id and keeps one row, the first of those with that
+doc_id; rows that share a doc_id but not a class are rows of their own; a null doc_id names a class only where no row of
+it has another, as null; long texts are read whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ BANDS, BAND_ROWS = 20, 5
 COMPONENTS = BANDS * BAND_ROWS
 #: Members of a bucket that one block of the cross-component comparison holds.
 BLOCK = 512
+#: The column of the rows' numbers.
+ROW = "__row"
 #: Ids that are few enough to broadcast (8 bytes each).
 BROADCAST_IDS = 1_000_000
 
@@ -88,7 +92,7 @@ def bag_minhash(shingle: np.ndarray, doc: np.ndarray, count: np.ndarray, rows: i
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, h1, h2, n_words, sig): the 128-bit hash of the words in order, and the signature."""
+    """(row, doc_id, h1, h2, n_words, sig): the 128-bit hash of the words in order, and the signature."""
     for batch in batches:
         data, at = utf8_column(batch.column("text"))
         rows = len(at) - 1
@@ -102,7 +106,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n[low:high] = words.count
             sig[low:high] = bag_minhash(*counted(words), high - low)
         h = whole.view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(n), pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "h1", "h2", "n_words", "sig"])
+        yield pa.RecordBatch.from_arrays([batch.column(ROW), batch.column("doc_id"), pa.array(h[:, 0]), pa.array(h[:, 1]), pa.array(n), pa.array([r.tobytes() for r in sig], pa.binary())], [ROW, "doc_id", "h1", "h2", "n_words", "sig"])
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,10 +149,10 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(spark: SparkSession, pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, similarity) of the ``pairs`` (a, b) of document ids whose texts are similar enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    """(a, b, similarity) of the ``pairs`` (a, b) of row numbers whose texts are similar enough."""
+    ids = pairs.select(F.col("a").alias(ROW)).unionByName(pairs.select(F.col("b").alias(ROW))).distinct()
     texts = _texts(docs, ids)
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    both = pairs.join(texts.select(F.col(ROW).alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col(ROW).alias("b"), F.col("text").alias("text_b")), "b")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long, similarity double").where(F.col("similarity") >= threshold)
 
 
@@ -200,12 +204,24 @@ def _cross(rows: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame(np.array(out, np.int64).reshape(-1, 2), columns=["a", "b"])
 
 
+def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with a number for each row, which stays as it is however often the rows are read."""
+    return materialise(spark, docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered", "zstd")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, n_words) of every row: class_id is the least doc_id that links reach, the own one included."""
+    """(row number, doc_id, class_id, n_words, kept) of every row.
+
+    class_id is the least doc_id that links reach, the own one included; kept is true for one row of each class.
+    The numbers are those of ``numbered``, where ``docs`` comes from there.
+    """
     bounded_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = materialise(spark, docs.mapInArrow(_sign, "doc_id long, h1 long, h2 long, n_words long, sig binary"), "signatures")
-    same = signed.groupBy("h1", "h2", "n_words").agg(F.min("doc_id").alias("id"), F.min_by("sig", "doc_id").alias("sig"))
+    if ROW not in docs.columns:
+        docs = numbered(spark, docs.select("doc_id", "text"))
+    docs = docs.select(ROW, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    signed = materialise(spark, docs.mapInArrow(_sign, f"{ROW} long, doc_id long, h1 long, h2 long, n_words long, sig binary"), "signatures")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col(ROW).alias("row"))
+    same = signed.groupBy("h1", "h2", "n_words").agg(F.min(ROW).alias("id"), F.min_by("sig", ROW).alias("sig"), F.min(first).alias("first"))
     same = materialise(spark, same, "representatives")
     reps = same.where("n_words > 0").select("id", "sig")
     bands = materialise(spark, reps.mapInArrow(_bands, "key long, id long"), "bands")
@@ -223,8 +239,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     if more.limit(1).count():
         comp = materialise(spark, connected_components(spark, links.unionByName(more)), "components")
 
-    classes = same.join(comp.withColumnRenamed("node", "id"), "id", "left").select("h1", "h2", "n_words", F.coalesce("component", "id").alias("class_id"))
-    return signed.select("doc_id", "h1", "h2", "n_words").join(classes, ["h1", "h2", "n_words"]).select("doc_id", "class_id", "n_words")
+    # components are of representatives' numbers; each is named and kept by the first row of any of them
+    linked = same.select("id", "first").join(comp.withColumnRenamed("node", "id"), "id")
+    named = linked.groupBy("component").agg(F.min("first").alias("head"))
+    heads = linked.join(named, "component").select("id", "head")
+    classes = same.join(heads, "id", "left").select("h1", "h2", "n_words", F.coalesce("head", "first").alias("head"))
+    rows = signed.select(ROW, "doc_id", "h1", "h2", "n_words").join(classes, ["h1", "h2", "n_words"])
+    return rows.select(ROW, "doc_id", F.col("head.doc_id").alias("class_id"), "n_words", (F.col(ROW) == F.col("head.row")).alias("kept"))
 
 
 def _across(mixed: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
@@ -243,14 +264,13 @@ def _across(mixed: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     meet = left.join(right, "key").where("bi <= bj and not (l0 = l1 and r0 = r1 and l0 = r0)").select("key", "bi", "bj")
     sides = meet.withColumn("block", F.explode(F.array_distinct(F.array("bi", "bj"))))
     rows = sides.join(dealt.select("key", "block", "id", "component"), ["key", "block"])
-    texts = _texts(docs, mixed.select("id").distinct()).withColumnRenamed("doc_id", "id")
+    texts = _texts(docs, mixed.select("id").distinct()).withColumnRenamed(ROW, "id")
     rows = rows.join(texts, "id").select("key", "bi", "bj", "id", "component", "text")
     return rows.groupBy("key", "bi", "bj").applyInPandas(partial(_cross, threshold=threshold), "a long, b long").distinct()
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, text) of the ``ids`` (one column), the least text where rows share an id."""
-    ids = ids.toDF("doc_id")
+    """(row number, text) of the rows whose numbers are the ``ids`` (one column)."""
+    ids = ids.toDF(ROW)
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    return texts.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return docs.select(ROW, "text").join(F.broadcast(ids) if few else ids, ROW, "left_semi")

@@ -83,6 +83,24 @@ def test_near_duplicates_against_brute_force(docs, spark):
     assert minhash.near_duplicates(spark, docs).count() == len(TEXTS)
 
 
+def test_near_duplicate_stage_keeps_one_row_a_class(spark):
+    import corpus_pipeline
+
+    near = BASE.replace("w7 ", "x ")
+    rows = [(5, BASE), (3, BASE), (3, BASE), (3, near), (4, "one clean text of its own"), (4, "another clean text that shares the id"), (8, "a b c"), (8, "a b c"), (None, "clean without an id"), (None, "clean without an id"), (None, near), (None, None), (9, " "), (6, "")]
+    rows += [(7, "many times")] * 50
+    docs = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc_id long").repartition(3)
+    class_of = classes(list(enumerate(t for _, t in rows)))
+    want = Counter()
+    for c in set(class_of.values()):
+        mine = [rows[k] for k in class_of if class_of[k] == c]
+        want[min((i for i, _ in mine if i is not None), default=None)] += 1
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    got = out.collect()
+    assert out.columns == docs.columns and Counter(r.doc_id for r in got) == want
+    assert len({class_of[rows.index((r.doc_id, r.text))] for r in got}) == len(got)
+
+
 def test_near_duplicate_chain_and_cross_blocks(spark):
     rng = np.random.default_rng(2)
     texts, now = [], [f"b{i}" for i in range(200)]
