@@ -7,27 +7,48 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Rows an Arrow batch may hold on its way to a Python worker; texts may be long, so far fewer than Spark's default.
-BATCH_ROWS = 1000
+#: Rows and bytes that an Arrow batch may hold on its way to a Python worker at most; texts may be long.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keep Arrow batches small, so that a Python worker's memory does not depend on the table."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Lower the session's bounds of an Arrow batch, so that a Python worker's memory does not depend on the table.
+
+    Frames are lazy and read the bounds when they run, so the bounds stay; they are never raised.
+    """
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = str(spark.conf.get(key, "0")).lower()
+        size = int(now.rstrip("b")) if now.rstrip("b").lstrip("-").isdigit() else 0
+        if size <= 0 or size > most:
+            spark.conf.set(key, str(most))
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; only where it is unset (tests), a local one."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a local master takes one of its own and a cluster raises."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = known.get() if known.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         root = tempfile.mkdtemp(prefix="kerbstone-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The ``names``, each with as many underscores before it as it takes to be none of the ``columns`` (in any case of letters)."""
+    known, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in known:
+            name = "_" + name
+        known.add(name.lower())
+        out.append(name)
+    return out
+
+
 def materialise(spark: SparkSession, df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and read it again: lineage ends there, executors can be lost.
 
