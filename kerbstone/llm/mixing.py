@@ -8,17 +8,23 @@ does not depend on partitions or attempts.
 A target that is not given is the actual share to the power of ``temper``, made to sum to 1: rarer values gain. A value
 that given targets don't name has target 0.
 
+Raking goes on until the margins hold or come no nearer; where targets contradict each other, what is left of the
+gap is told in a warning.
+
 All of it is DataFrame operations. Defined results: a null source or language is the value ``(none)``; a text without words
 has the topic ``empty`` and no tokens, weighs nothing and is kept; rows that share a doc_id are kept or left together in a
-cell; ties don't matter; an empty table gives no rows.
+cell, as are those without one; ties don't matter; very long texts are counted whole; an empty table gives no rows. Other
+columns pass as they are, whatever their names: the ones added here give way by longer names (see ``mixed``).
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .workspace import cut_lineage
+from .workspace import cut_lineage, unused
 
 MARGINS = ("source", "lang", "topic")
 #: Cells that are few enough to broadcast (four short columns each).
@@ -43,13 +49,18 @@ def topic(text: Column, n: Column) -> Column:
     )
 
 
-def celled(docs: DataFrame) -> DataFrame:
-    """The documents with __source, __lang, __topic and __tokens."""
+#: The columns that are added to the documents.
+ADDED = ("__source", "__lang", "__topic", "__tokens", "__p", "__kept")
+
+
+def celled(docs: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """The documents with __source, __lang, __topic and __tokens, or the columns of these ``names``."""
+    source, lang, kind, count = (names or ADDED)[:4]
     n = tokens(F.col("text"))
-    return docs.withColumns({"__tokens": n, "__source": F.coalesce(F.col("source").cast("string"), F.lit("(none)")), "__lang": F.coalesce(F.col("lang").cast("string"), F.lit("(none)"))}).withColumn("__topic", topic(F.col("text"), F.col("__tokens")))
+    return docs.withColumns({count: n, source: F.coalesce(F.col("source").cast("string"), F.lit("(none)")), lang: F.coalesce(F.col("lang").cast("string"), F.lit("(none)"))}).withColumn(kind, topic(F.col("text"), F.col(count)))
 
 
-def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: dict[str, float] | None = None, tolerance: float = 1e-10, sweeps: int = 50) -> DataFrame:
+def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: dict[str, float] | None = None, tolerance: float = 1e-10) -> DataFrame:
     """``cells`` (__source, __lang, __topic, t) with ``w``, whose margins are the target shares within ``tolerance``."""
     targets, temper = targets or {}, temper or {}
     now = cells.where("t > 0").withColumn("w", F.col("t").cast("double"))
@@ -64,20 +75,24 @@ def rake(spark: SparkSession, cells: DataFrame, targets: dict[str, dict[str, flo
             total = powered.agg(F.sum("s")).first()[0] or 1.0
             now = now.join(powered.select(f"__{m}", (F.col("s") / F.lit(total)).alias(f"g_{m}")), f"__{m}")
     now = cut_lineage(spark, now)
-    for _ in range(sweeps):
+    before = float("inf")
+    while True:
         for m in MARGINS:
             now = now.withColumn("w", F.expr(f"coalesce(w * g_{m} / nullif(sum(w) over (partition by __{m}), 0), 0)"))
         now = cut_lineage(spark, now)
         gaps = [now.groupBy(f"__{m}").agg(F.abs(F.sum("w") - F.first(f"g_{m}")).alias("gap")).agg(F.max("gap").alias("gap")) for m in MARGINS]
         worst = gaps[0].unionByName(gaps[1]).unionByName(gaps[2]).agg(F.max("gap")).first()[0]
         if worst is None or worst <= tolerance:
-            break
-    return now
+            return now
+        if worst > 0.999 * before:
+            warnings.warn(f"the targets contradict each other: margins hold within {worst:.3g} only", stacklevel=2)
+            return now
+        before = worst
 
 
 def probabilities(spark: SparkSession, docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: dict[str, float] | None = None) -> DataFrame:
     """(__source, __lang, __topic, t, w, p): each cell's tokens, raked weight and probability of keeping a document."""
-    cells = cut_lineage(spark, celled(docs).groupBy("__source", "__lang", "__topic").agg(F.sum("__tokens").alias("t")))
+    cells = cut_lineage(spark, celled(docs.select("text", "source", "lang")).groupBy("__source", "__lang", "__topic").agg(F.sum("__tokens").alias("t")))
     raked = rake(spark, cells, targets, temper)
     most = raked.agg(F.max(F.col("w") / F.col("t"))).first()[0] or 1.0
     return cut_lineage(spark, raked.select("__source", "__lang", "__topic", "t", "w", F.least(F.lit(1.0), F.col("w") / F.col("t") / F.lit(most)).alias("p")))
@@ -90,16 +105,22 @@ def draw(doc_id: Column, seed: int) -> Column:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: dict[str, float] | None = None, seed: int = 7) -> DataFrame:
-    """``docs`` with __source, __lang, __topic, __tokens, __p (probability) and __kept."""
-    cells = probabilities(spark, docs, targets, temper).select("__source", "__lang", "__topic", "p")
+    """``docs`` with __source, __lang, __topic, __tokens, __p (probability) and __kept as the last columns.
+
+    Where ``docs`` has a column of such a name, the added one has more underscores.
+    """
+    names = unused(docs.columns, *ADDED)
+    source, lang, kind, _, p, kept = names
+    cells = probabilities(spark, docs, targets, temper).select(F.col("__source").alias(source), F.col("__lang").alias(lang), F.col("__topic").alias(kind), F.col("p").alias(p))
     few = cells.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
-    both = celled(docs).join(F.broadcast(cells) if few else cells, ["__source", "__lang", "__topic"], "left")
-    return both.withColumn("__p", F.coalesce("p", F.lit(1.0))).drop("p").withColumn("__kept", draw(F.col("doc_id"), seed) < F.col("__p"))
+    both = celled(docs, names).join(F.broadcast(cells) if few else cells, [source, lang, kind], "left")
+    return both.withColumn(p, F.coalesce(p, F.lit(1.0))).withColumn(kept, draw(F.col("doc_id"), seed) < F.col(p)).select(*docs.columns, *names)
 
 
 def mix(spark: SparkSession, docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, temper: dict[str, float] | None = None, seed: int = 7) -> DataFrame:
     """The rows of ``docs`` that are kept, columns as they are."""
-    return mixed(spark, docs, targets, temper, seed).where("__kept").select(*docs.columns)
+    found = mixed(spark, docs, targets, temper, seed)
+    return found.where(F.col(found.columns[-1])).select(*docs.columns)
 
 
 def mixed_sql(temper: dict[str, float], seed: int = 7, sweeps: int = 30) -> str:

@@ -1,17 +1,30 @@
 """Quality classifier: positive-unlabelled learning with the non-negative unbiased risk.
 
-Trusted positives are rows labelled 1 outside the held-out fifth; the unlabelled texts are a hash sample of the whole
-table outside that fifth; the class prior is estimated from those two samples alone. Rows labelled 0 are never used.
+Trusted positives are documents labelled 1 outside the held-out fifth; every document outside that fifth is unlabelled
+text; the class prior is estimated. Rows labelled 0 are never used.
+
+The model is additive: a weight for each quantile bin of each statistic of a text, and a bias. With the squared loss
+l(z) = (1 - z)^2 / 4 the means that the risk is made of depend on the data through the first two moments of the bins alone:
+
+    R(w) = prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)])
+
+so the unlabelled risk is that of all documents, whatever their number: one pass sums a matrix of fixed size, and the
+driver descends on the moments. Bin edges are quantiles over all documents. The prior is found with one more pass, as the
+share of unlabelled scores over the median score of positives that were kept apart from the first model. A last pass counts
+the model's values in narrow bins, and the logistic curve that turns a value into a score is the one of least unbiased
+logistic risk over these counts.
 
 Defined results: a null text counts as empty; an empty text gets the score of its own (all zero) statistics; equal
 texts have equal scores; very long texts are read whole; an empty table gives no rows; without positives every text
-scores 0.5.
+scores 0.5. A null doc_id is unlabelled text and not held out; repeated labels count once; rows that share a doc_id are
+documents of their own. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,22 +33,33 @@ from pyspark.sql import functions as F
 
 from .toxicity import held_out
 from .words import WHITE, Words, chunks, utf8_column
-from .workspace import bounded_batches
+from .workspace import bounded_batches, materialise
 
-#: Positives, and unlabelled texts, that the model is fitted on at most.
-MAX_POSITIVE, MAX_UNLABELLED = 8_000, 12_000
+#: Labelled positives that the model is fitted on at most.
+MAX_POSITIVE = 8_000
 #: Quantile bins of each statistic.
 BINS = 12
+#: Bins of the model's value to each side of nothing, and their width.
+VALUE_BINS, VALUE_STEP = 300, 0.01
 
 
 @dataclass
 class QualityModel:
-    """An additive model: per statistic the bin edges and the bins' weights, and the estimated class prior."""
+    """Per statistic the bin edges and the bins' weights, the bias, the estimated class prior, and slope and shift of the scores."""
 
     edges: np.ndarray
     weight: np.ndarray
     bias: float
     prior: float
+    slope: float = 1.0
+    shift: float = 0.0
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return _sigmoid(self.slope * self.value(x) + self.shift)
+
+    def value(self, x: np.ndarray) -> np.ndarray:
+        """The model's value of each row of statistics."""
+        return self.weight[one_hot(x, self.edges)].sum(1) + self.bias if len(x) else np.zeros(0)
 
 
 def _members(chars: str) -> np.ndarray:
@@ -50,6 +74,8 @@ _CLASSES = {
     "line": _members("\n"), "wide": np.concatenate([np.zeros(128, np.float32), np.ones(128, np.float32)]),
 }
 STATISTICS = [f"{k}_share" for k in _CLASSES] + ["log_bytes", "word_length", "distinct_words", "repeated_lines", "line_words", "top_word"]
+#: Bins of all statistics.
+SIZE = len(STATISTICS) * (BINS + 1)
 
 
 def _per_row(values: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -85,104 +111,203 @@ def statistics(column: pa.Array) -> np.ndarray:
             [*got, np.log1p(np.diff(cut)), _per_row(~WHITE[part], cut) / n, np.bincount(d[new], minlength=rows) / n,
              1 - distinct / np.maximum(lines.count, 1), n / np.maximum(lines.count, 1), most / n]
         )
-    return out
+    # rounded, so that equal texts have equal statistics wherever they stand in a chunk
+    return np.round(out, 9)
 
 
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         table = statistics(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([batch.column("positive"), batch.column("ord"), pa.array(list(table), pa.list_(pa.float64()))], ["positive", "ord", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(table[:, k]) for k in range(len(STATISTICS))]], ["doc_id", *[f"s{k}" for k in range(len(STATISTICS))]])
+
+
+def _table(batch: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([batch.column(f"s{k}").to_numpy() for k in range(len(STATISTICS))]) if batch.num_rows else np.zeros((0, len(STATISTICS)))
 
 
-def _one_hot(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
+def one_hot(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """Column numbers of each row's bins, one per statistic."""
     return np.column_stack([np.searchsorted(edges[k], x[:, k], "right") + k * (BINS + 1) for k in range(x.shape[1])])
 
 
-def _gradient(columns: np.ndarray, g: np.ndarray, size: int) -> np.ndarray:
-    return np.bincount(columns.ravel(), np.repeat(g, columns.shape[1]), minlength=size)
+def moments_of(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The sum over rows of v v', where v has a 1 for each bin that the row is in and, last, a 1 for the bias."""
+    out = np.zeros((SIZE + 1, SIZE + 1))
+    for low in range(0, len(x), 8192):
+        columns = one_hot(x[low : low + 8192], edges)
+        v = np.zeros((len(columns), SIZE + 1), np.float32)
+        v[np.arange(len(columns))[:, None], columns] = 1
+        v[:, -1] = 1
+        out += v.T @ v  # counts under 2 ** 24, exact in float32
+    return out
+
+
+def _moments(batches: Iterator[pa.RecordBatch], edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(part, row, v): the task's moments by part, a row of the matrix in each."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        part, x = batch.column("part").to_numpy(), _table(batch)
+        for p in np.unique(part):
+            total[int(p)] = total.get(int(p), 0) + moments_of(x[part == p], edges)
+    for p, m in total.items():
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(m), p, np.int32)), pa.array(np.arange(len(m), dtype=np.int32)), pa.array(list(m), pa.list_(pa.float64()))], ["part", "row", "v"])
+
+
+def _summed(rows: DataFrame, edges: np.ndarray) -> dict[int, np.ndarray]:
+    """The moments of each ``part`` of the rows; what comes to the driver has a fixed size."""
+    tasks = rows.mapInArrow(partial(_moments, edges=edges), "part int, row int, v array<double>")
+    width = SIZE + 1
+    sums = tasks.groupBy("part", "row").agg(*[F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(width)]).collect()
+    out: dict[int, np.ndarray] = {}
+    for r in sums:
+        out.setdefault(r["part"], np.zeros((width, width)))[r["row"]] = r[2:]
+    return out
+
+
+def risk(w: np.ndarray, prior: float, p: np.ndarray, u: np.ndarray) -> tuple[float, float]:
+    """(positives' part, negatives' part) of the unbiased risk, from the moments (bias last) of positives and unlabelled."""
+    n_p, n_u = max(p[-1, -1], 1.0), max(u[-1, -1], 1.0)
+    quad_p, quad_u, mean_p, mean_u = w @ p @ w / n_p, w @ u @ w / n_u, w @ p[-1] / n_p, w @ u[-1] / n_u
+    return prior * (1 - 2 * mean_p + quad_p) / 4, (1 + 2 * mean_u + quad_u) / 4 - prior * (1 + 2 * mean_p + quad_p) / 4
 
 
-def _descend(step, size: int, rounds: int = 400, rate: float = 0.05) -> tuple[np.ndarray, float]:
-    """Adam over the weights and, last, the bias."""
-    w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+def gradients(w: np.ndarray, prior: float, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The gradients of both parts of ``risk``."""
+    n_p, n_u = max(p[-1, -1], 1.0), max(u[-1, -1], 1.0)
+    return prior * (p @ w - p[-1]) / (2 * n_p), (u @ w + u[-1]) / (2 * n_u) - prior * (p @ w + p[-1]) / (2 * n_p)
+
+
+def _descend(step, rounds: int, rate: float = 0.03) -> np.ndarray:
+    """Adam, from nothing."""
+    w, m, v = np.zeros(SIZE + 1), np.zeros(SIZE + 1), np.zeros(SIZE + 1)
     for t in range(1, rounds + 1):
-        g = step(w[:-1], w[-1])
+        g = step(w)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w[:-1], float(w[-1])
+        w -= rate * (0.1 if t > rounds * 0.7 else 1.0) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    return w
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+def fit_apart(p: np.ndarray, u: np.ndarray, l2: float = 1e-4, rounds: int = 1000) -> np.ndarray:
+    """A model that tells positives from unlabelled texts, both of equal weight."""
 
+    def step(w: np.ndarray) -> np.ndarray:
+        return (p @ w - p[-1]) / max(p[-1, -1], 1) + (u @ w + u[-1]) / max(u[-1, -1], 1) + l2 * w
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """The class prior from the scores of a positive-against-unlabelled model.
+    return _descend(step, rounds)
 
-    Where positives are typical (their upper half) hardly a negative lies, so there the unlabelled share is the prior
-    times the positive share.
-    """
-    t = np.median(positive)
-    there = max((positive >= t).mean(), 1e-9)
-    return float(np.clip((unlabelled >= t).mean() / there, 0.05, 0.99))
 
+def fit_risk(prior: float, p: np.ndarray, u: np.ndarray, l2: float = 1e-4, rounds: int = 2000) -> np.ndarray:
+    """Descend on the non-negative risk: where the negatives' part is under nothing, climb back along it alone."""
 
-def fit_matrix(p: np.ndarray, u: np.ndarray, l2: float = 1e-3) -> QualityModel:
-    """Fit on the statistics of positives ``p`` and unlabelled texts ``u``."""
-    edges = np.column_stack([np.quantile(np.concatenate([p, u]), np.linspace(0, 1, BINS + 1)[1:-1], axis=0)]).T
-    size = u.shape[1] * (BINS + 1)
-    if not len(p) or not len(u):
-        return QualityModel(edges, np.zeros(size), 0.0, 0.5)
-    cp, cu = _one_hot(p, edges), _one_hot(u, edges)
+    def step(w: np.ndarray) -> np.ndarray:
+        own, rest = gradients(w, prior, p, u)
+        return (own + rest if risk(w, prior, p, u)[1] >= 0 else -rest) + l2 * w
 
-    def apart(w: np.ndarray, b: float) -> np.ndarray:
-        gp, gu = -_sigmoid(-(w[cp].sum(1) + b)) / len(p), _sigmoid(w[cu].sum(1) + b) / len(u)
-        return np.append(_gradient(cp, gp, size) + _gradient(cu, gu, size) + l2 * w, gp.sum() + gu.sum())
+    return _descend(step, rounds)
 
-    w, b = _descend(apart, size, rounds=200)
-    prior = estimate_prior(w[cp].sum(1) + b, w[cu].sum(1) + b)
 
-    def risk(w: np.ndarray, b: float) -> np.ndarray:
-        fp, fu = w[cp].sum(1) + b, w[cu].sum(1) + b
-        negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        gu, gp = _sigmoid(fu) / len(u), -prior * _sigmoid(fp) / len(p)
-        if negative < 0:  # the risk of negatives can't be below nothing: climb back
-            gu, gp, loss = -gu, -gp, 0.0
-        else:
-            loss = -prior * _sigmoid(-fp) / len(p)
-        gp = gp + loss
-        return np.append(_gradient(cp, gp, size) + _gradient(cu, gu, size) + l2 * w, gp.sum() + gu.sum())
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def prior_of(unlabelled_over: float, positive_over: float) -> float:
+    """The class prior from the shares of unlabelled and of positive scores over a bar that hardly a negative reaches."""
+    return float(np.clip(unlabelled_over / positive_over if positive_over else 0.5, 0.05, 0.99))
 
-    w, b = _descend(risk, size)
-    return QualityModel(edges, w, b, prior)
 
+def fit_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE) -> QualityModel:
+    """Fit on all documents as unlabelled text and a bounded hash sample of the positives (least hash of the id first)."""
+    return _fit(spark, _statistics(spark, docs), labels, max_positive)
 
-def fit_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> QualityModel:
-    """Fit on bounded hash samples (least hash of the id first); only their statistics come to the driver."""
+
+def _statistics(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """(doc_id, s0, s1 ...) of every document, written once: everything else reads these few numbers."""
     bounded_batches(spark)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    columns = ", ".join(f"s{k} double" for k in range(len(STATISTICS)))
+    return materialise(spark, docs.select("doc_id", "text").mapInArrow(_stats, f"doc_id {kind}, {columns}"), "statistics")
+
+
+def _fit(spark: SparkSession, table: DataFrame, labels: DataFrame, max_positive: int) -> QualityModel:
+    names = [f"s{k}" for k in range(len(STATISTICS))]
+    learn = table.where(~held_out())
+    shares = F.array(*[F.lit(k / BINS) for k in range(1, BINS)])
+    found = learn.agg(*[F.percentile_approx(c, shares, F.lit(10_000)).alias(c) for c in names]).first()
+    if found is None or found[0] is None:
+        return QualityModel(np.zeros((len(STATISTICS), BINS - 1)), np.zeros(SIZE), 0.0, 0.5)
+    edges = np.array([list(found[c]) for c in names])
+    sample = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id").distinct()
+    # at most max_positive ids; a quarter of them only measures the prior
+    sample = sample.select("doc_id", F.xxhash64("doc_id").alias("ord")).orderBy("ord", "doc_id").limit(max_positive)
+    sample = materialise(spark, sample.select("doc_id", F.when(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0, 2).otherwise(1).alias("part")), "positives")
+    positive = learn.join(F.broadcast(sample), "doc_id").select(*names, "part")
+    sums = _summed(positive.unionByName(learn.select(*names, F.lit(0).alias("part"))), edges)
+    none = np.zeros((SIZE + 1, SIZE + 1))
+    u, seen, kept = (sums.get(k, none) for k in (0, 1, 2))
+    p = seen + kept
+    if not p[-1, -1] or not u[-1, -1]:
+        return QualityModel(edges, np.zeros(SIZE), 0.0, 0.5)
+    # the first model must not have seen what the prior is measured on
+    w = fit_apart(seen if seen[-1, -1] and kept[-1, -1] else p, u)
+    prior = _prior(spark, learn, positive.where("part = 2") if kept[-1, -1] else positive, QualityModel(edges, w[:-1], float(w[-1]), 0.5))
+    w = fit_risk(prior, p, u)
+    model = QualityModel(edges, w[:-1], float(w[-1]), prior)
+    model.slope, model.shift = curve(prior, _histogram(positive, model), _histogram(learn, model))
+    return model
+
+
+def _histogram(rows: DataFrame, model: QualityModel) -> np.ndarray:
+    """Counts of the rows' values; values beyond the last bins count in them."""
+    f = rows.select(*[f"s{k}" for k in range(len(STATISTICS))]).mapInArrow(partial(_values, model=model), "f double")
+    at = F.greatest(F.lit(-VALUE_BINS), F.least(F.lit(VALUE_BINS), F.rint(F.col("f") / VALUE_STEP))).cast("int")
+    out = np.zeros(2 * VALUE_BINS + 1)
+    for r in f.groupBy(at.alias("at")).count().collect():
+        out[r["at"] + VALUE_BINS] = r["count"]
+    return out
 
-    def least(frame: DataFrame, n: int, positive: int) -> DataFrame:
-        return frame.where(F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.lit(positive).alias("positive"), F.xxhash64("doc_id").alias("ord")).orderBy("ord", "doc_id").limit(n)
 
-    sample = least(labels.where(F.col("quality") == 1).select("doc_id"), max_positive, 1).unionByName(least(docs.select("doc_id"), max_unlabelled, 0))
-    # at most max_positive + max_unlabelled rows of three numbers
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("positive", "ord", "text")
-    got = rows.mapInArrow(_stats, "positive int, ord long, x array<double>").toPandas().sort_values(["positive", "ord"])
-    x, y = np.array(got.x.tolist()).reshape(len(got), len(STATISTICS)), got.positive.to_numpy()
-    return fit_matrix(x[y == 1], x[y == 0]) if len(got) else QualityModel(np.zeros((len(STATISTICS), BINS - 1)), np.zeros(len(STATISTICS) * (BINS + 1)), 0.0, 0.5)
+def curve(prior: float, p: np.ndarray, u: np.ndarray, l2: float = 1e-3) -> tuple[float, float]:
+    """Slope and shift of least unbiased logistic risk E_u[log(1 + e^g)] - prior * E_p[g], by Newton steps, from histograms."""
+    x = np.column_stack([np.arange(-VALUE_BINS, VALUE_BINS + 1) * VALUE_STEP, np.ones(len(u))])
+    p, u, ab = p / max(p.sum(), 1), u / max(u.sum(), 1), np.array([2.0, 0.0])
+    for _ in range(100):
+        q = _sigmoid(x @ ab)
+        step = np.linalg.solve((x * (u * q * (1 - q))[:, None]).T @ x + l2 * np.eye(2), x.T @ (u * q - prior * p) + l2 * ab)
+        ab = ab - np.clip(step, -1, 1)
+    return float(ab[0]), float(ab[1])
 
 
-def score_quality(spark: SparkSession, docs: DataFrame, model: QualityModel) -> DataFrame:
-    """(doc_id, score) of every row of ``docs``; the model is a few kB."""
-    bounded_batches(spark)
-    sent = spark.sparkContext.broadcast(model)
+def _values(batches: Iterator[pa.RecordBatch], model: QualityModel) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(model.value(_table(batch)))], ["f"])
+
+
+def _prior(spark: SparkSession, learn: DataFrame, apart: DataFrame, model: QualityModel) -> float:
+    names = [f"s{k}" for k in range(len(STATISTICS))]
+    run = partial(_values, model=model)
+    own = apart.select(*names).mapInArrow(run, "f double")
+    bar = own.agg(F.percentile_approx("f", 0.5, 10_000)).first()[0]
+    over = F.avg(F.when(F.col("f") >= bar, 1.0).otherwise(0.0))
+    return prior_of(learn.select(*names).mapInArrow(run, "f double").agg(over).first()[0], own.agg(over).first()[0])
+
+
+def _scored(table: DataFrame, model: QualityModel) -> DataFrame:
+    sent = table.sparkSession.sparkContext.broadcast(model)  # a few kB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = sent.value
-            f = at.weight[_one_hot(statistics(batch.column("text")), at.edges)].sum(1) + at.bias if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_sigmoid(f))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sent.value.score(_table(batch)))], ["doc_id", "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    return table.mapInArrow(run, f"doc_id {table.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def score_quality(spark: SparkSession, docs: DataFrame, model: QualityModel) -> DataFrame:
+    """(doc_id, score) of every row of ``docs``."""
+    return _scored(_statistics(spark, docs), model)
+
+
+def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE) -> tuple[DataFrame, QualityModel]:
+    """(doc_id, score) of every row of ``docs`` by the model fitted on them; the texts are read once."""
+    table = _statistics(spark, docs)
+    model = _fit(spark, table, labels, max_positive)
+    return _scored(table, model), model

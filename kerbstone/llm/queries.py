@@ -122,8 +122,7 @@ from lines left join held using (key) group by doc_id
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from a score of 0.3) of every document."""
     docs = _table(spark, sf_dir, "documents")
-    model = quality.fit_quality(spark, docs, _table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(spark, docs, model)
+    scored, _ = quality.classify(spark, docs, _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 

@@ -3,12 +3,14 @@
 Groups (rows of equal text) are indivisible. Their sizes are summed on the map side first, so a hot group is one number.
 Each bucket of groups is differenced by itself: a group is a partial partition (its size, and zeros); the two partial
 partitions of largest spread are combined in opposite order, until one is left. The buckets' results are partial
-partitions again and are differenced in the same way by one task, which gets one row of ``shards`` numbers a bucket.
-
-Defined results: a null text is a group of its own kind (size 1, crc of the empty text) apart from empty texts; equal
-texts have one shard; rows that share a doc_id are rows of their own; ties fall by size and then by the group's hash, so
-the result does not depend on the partitioning beyond the number of buckets; an empty table gives no rows. A
-group larger than its fair share makes its shard that much larger: it is never cut.
+partitions again, one row of ``shards`` numbers each: they are dealt to fewer buckets and differenced in the same way, level
+by level, until one is left. No task holds more than about BUCKET_GROUPS partial partitions, however many there are.
+
+Defined results: a null text counts as an empty one (size 1, crc of the empty text) and is of its group; equal
+texts have one shard; rows that share a doc_id, or have none, are rows of their own; ties fall by size and then by the
+group's hash, so the result does not depend on the partitioning beyond the number of buckets; very long texts are hashed
+whole; other columns are ignored, whatever their names; an empty table gives no rows. A group larger than its fair share
+makes its shard that much larger: it is never cut.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .workspace import bounded_batches, materialise
 
-#: Groups in a bucket, about; and buckets at most (the last differencing gets one row for each).
-BUCKET_GROUPS, MOST_BUCKETS = 20_000, 10_000
+#: Partial partitions in a bucket, about.
+BUCKET_GROUPS = 20_000
 #: Rows in a block of the numbering within a shard, about.
 SLOT_ROWS = 50_000
 
@@ -78,36 +80,51 @@ def _bucket(shards: int):
     return run
 
 
-def _whole(shards: int):
+def _level(shards: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """(up, bucket, place, sums): for each bucket of a bucket of the next level, where its parts go, and the whole's sums."""
         rows = rows.sort_values("bucket", ignore_index=True)
-        place = difference(np.array(rows.sums.tolist(), np.int64).reshape(-1, shards), list(range(len(rows))))
-        return pd.DataFrame({"bucket": np.repeat(rows.bucket, shards), "part": np.tile(np.arange(shards, dtype=np.int32), len(rows)), "shard": place.ravel().astype(np.int32)})
+        sums = np.array(rows.sums.tolist(), np.int64).reshape(-1, shards)
+        place = difference(sums, list(range(len(rows))))
+        total = np.zeros(shards, np.int64)
+        np.add.at(total, place.ravel(), sums.ravel())
+        return pd.DataFrame({"up": rows.up, "bucket": rows.bucket, "place": list(place.astype(np.int32)), "sums": [total] * len(rows)})
 
     return run
 
 
-def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = 8, buckets: int | None = None) -> DataFrame:
-    """(doc_id, size, text_crc32, shard, slot) of every row: size is the text's bytes plus 1, slot is gapless in a shard."""
+def shard_by_bytes(spark: SparkSession, docs: DataFrame, shards: int = 8, buckets: int | None = None, fan: int = BUCKET_GROUPS) -> DataFrame:
+    """(doc_id, size, text_crc32, shard, slot) of every row: size is the text's bytes plus 1, slot is gapless in a shard.
+
+    ``buckets`` is the number of buckets of the first level, ``fan`` how many buckets of a level meet in one of the next.
+    """
     bounded_batches(spark)
-    text = F.col("text")
+    text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         "doc_id",
-        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
-        F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
-        F.coalesce(F.xxhash64(text, F.lit(1)), F.lit(0)).alias("h1"),
-        F.when(text.isNull(), F.lit(1)).otherwise(F.xxhash64(F.lit(2), text)).alias("h2"),
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.xxhash64(text, F.lit(1)).alias("h1"),
+        F.xxhash64(F.lit(2), text).alias("h2"),
     )
     rows = materialise(spark, rows, "sizes")
     groups = materialise(spark, rows.groupBy("h1", "h2").agg(F.sum("size").alias("size")), "groups")
     if buckets is None:
-        buckets = min(MOST_BUCKETS, max(1, -(-groups.count() // BUCKET_GROUPS)))
+        buckets = max(1, -(-groups.count() // BUCKET_GROUPS))
     dealt = groups.withColumn("bucket", F.pmod(F.xxhash64("h2", "h1"), F.lit(buckets)).cast("int"))
     parts = materialise(spark, dealt.groupBy("bucket").applyInPandas(_bucket(shards), "bucket int, h1 long, h2 long, part int, sums array<long>"), "parts")
+    placed = parts.select("bucket", "h1", "h2", F.col("part").alias("shard"))
     sums = parts.groupBy("bucket").agg(F.first("sums").alias("sums"))
-    # one row a bucket, MOST_BUCKETS at most
-    final = sums.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(_whole(shards), "bucket int, part int, shard int")
-    placed = parts.select("bucket", "h1", "h2", "part").join(F.broadcast(final), ["bucket", "part"]).select("h1", "h2", "shard")
+    while True:
+        buckets = -(-buckets // fan)
+        level = sums.withColumn("up", F.pmod("bucket", F.lit(buckets)).cast("int")).groupBy("up").applyInPandas(_level(shards), "up int, bucket int, place array<int>, sums array<long>")
+        level = materialise(spark, level, "level")
+        # a row of ``shards`` small numbers a bucket: the first level has one for 20,000 groups
+        placed = placed.join(level.select("bucket", "up", "place"), "bucket").select(F.col("up").alias("bucket"), "h1", "h2", F.col("place")[F.col("shard")].alias("shard"))
+        if buckets == 1:
+            break
+        sums = level.groupBy(F.col("up").alias("bucket")).agg(F.first("sums").alias("sums"))
+    placed = placed.select("h1", "h2", "shard")
     out = materialise(spark, rows.join(placed, ["h1", "h2"]).select("doc_id", "size", "text_crc32", "shard"), "placed")
     return number(spark, out)
 

@@ -4,8 +4,11 @@ Per-coordinate rates and the L1 term leave a few weights that are not zero; only
 are at most ``2 ** BITS`` of them (12 MB) whatever the corpus holds.
 
 Defined results: a null text counts as empty; a text without words has the score of the bias alone; equal texts
-have equal scores; a very long text is read whole; an empty table gives no rows; with no labelled row at all the
-model scores 0.5 everywhere and rejects nothing. Rows of ``labels`` with a null label are ignored.
+have equal scores, whatever other models a worker has scored with; a very long text is read whole; an empty table gives no
+rows; with no labelled row at all the model scores 0.5 everywhere, which the default threshold rejects. Rows of ``labels``
+with a null label or a null doc_id are ignored, repeated ones count once; rows that share a labelled doc_id are all
+learned from while the bound on the sample allows. Rows with a null doc_id are scored, and count as not held out. Other
+columns pass as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -79,19 +82,34 @@ def _platt(margin: np.ndarray, y: np.ndarray, bias: float) -> tuple[float, float
     return float(a), float(b)
 
 
-def _fit(batches: Iterator[pa.RecordBatch], how: Ftrl) -> Iterator[pa.RecordBatch]:
-    """One pass per epoch over the bounded sample, in the order of ``ord``; yields the weights that are not zero."""
-    rows: list[tuple[int, int, np.ndarray]] = []
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ord, doc_id, toxic, size, features): each labelled text's distinct feature numbers as little-endian 32-bit integers."""
     for batch in batches:
         data, at = utf8_column(batch.column("text"))
-        order, toxic = batch.column("ord").to_numpy(), batch.column("toxic").to_numpy()
+        out = []
         for low, high in chunks(at):
             words = Words(data[at[low] : at[high]], at[low : high + 1] - at[low], NOT_ALNUM)
             found = list(features(words))
             key = np.unique(np.concatenate([(doc.astype(np.int64) << BITS) | i for i, doc in found] or [np.zeros(0, np.int64)]))
             cut = np.searchsorted(key, np.arange(high - low + 1) << BITS)
-            index = (key & ((1 << BITS) - 1)).astype(np.int32)
-            rows += [(int(order[low + k]), int(toxic[low + k]), index[cut[k] : cut[k + 1]]) for k in range(high - low)]
+            index = (key & ((1 << BITS) - 1)).astype("<i4")
+            out += [index[cut[k] : cut[k + 1]].tobytes() for k in range(high - low)]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("ord", "doc_id", "toxic")], pa.array(np.diff(at)), pa.array(out, pa.binary())], ["ord", "doc_id", "toxic", "size", "features"])
+
+
+def _fit(batches: Iterator[pa.RecordBatch], how: Ftrl) -> Iterator[pa.RecordBatch]:
+    """The weights that are not zero, and the bias, of the bounded sample."""
+    rows: list[tuple[int, int, np.ndarray]] = []
+    for batch in batches:
+        order, toxic = batch.column("ord").to_numpy(), batch.column("toxic").to_numpy()
+        rows += [(int(o), int(y), np.frombuffer(i.as_buffer(), "<i4")) for o, y, i in zip(order, toxic, batch.column("features"), strict=True)]
+    w, bias = ftrl(rows, how)
+    kept = np.flatnonzero(w)
+    yield pa.RecordBatch.from_pydict({"i": np.append(kept, -1), "w": np.append(w[kept], bias)})
+
+
+def ftrl(rows: list[tuple[int, int, np.ndarray]], how: Ftrl) -> tuple[np.ndarray, float]:
+    """(weights, bias) after some epochs over (order, label, distinct features), in their order, and Platt scaling."""
     rows.sort(key=lambda r: r[0])
     seen = np.zeros(1 << BITS, np.int32)
     for _, _, i in rows:
@@ -111,15 +129,13 @@ def _fit(batches: Iterator[pa.RecordBatch], how: Ftrl) -> Iterator[pa.RecordBatc
             bias_n += g * g
             bias -= how.alpha * g / (how.beta + np.sqrt(bias_n))
     w = np.where(np.abs(z) <= how.l1, 0.0, (np.sign(z) * how.l1 - z) / ((how.beta + np.sqrt(n)) / how.alpha + how.l2))
-    kept = np.flatnonzero(w)
     scale, shift = _platt(np.array([w[i].sum() for _, _, i in rows[apart:]]), np.array([y for _, y, _ in rows[apart:]], float), bias)
-    w, bias = w * scale, shift
-    yield pa.RecordBatch.from_pydict({"i": np.append(kept, -1), "w": np.append(w[kept], bias if rows else 0.0)})
+    return w * scale, shift if rows else 0.0
 
 
 def held_out(doc_id: str = "doc_id"):
-    """True for the fifth of all documents whose labels are never learned from."""
-    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+    """True for the fifth of all documents whose labels are never learned from; a null id is not of it."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
 def fit_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, how: Ftrl | None = None) -> ToxicityModel:
@@ -128,27 +144,30 @@ def fit_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, how: F
     bounded_batches(spark)
     sample = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-        .select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("ord"))
+        .select("doc_id", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id").alias("ord")).distinct()
         .orderBy("ord", "doc_id", "toxic").limit(how.max_train)
     )
     # at most max_train rows of three numbers
-    train = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("ord", "toxic", "text")
-    weights = train.repartition(1).mapInArrow(partial(_fit, how=how), "i long, w double").toPandas()
+    train = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("ord", "doc_id", "toxic", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    hashed = train.mapInArrow(_hashed, f"ord long, doc_id {kind}, toxic int, size long, features binary")
+    # rows that share an id may be many: of all there are, max_train reach the one task that fits, and no texts do
+    bounded = hashed.orderBy("ord", "doc_id", "toxic", "size", "features").limit(how.max_train).select("ord", "toxic", "features")
+    weights = bounded.repartition(1).mapInArrow(partial(_fit, how=how), "i long, w double").toPandas()
     table = weights[weights.i >= 0].sort_values("i")
     bias = weights[weights.i < 0].w
     return ToxicityModel(table.i.to_numpy(np.int64), table.w.to_numpy(np.float32), float(bias.sum()))
 
 
-_dense: dict[int, np.ndarray] = {}
+def dense(model: ToxicityModel) -> np.ndarray:
+    """The weights over the whole hash space; made once a task, and never kept for another model."""
+    table = np.zeros(1 << BITS, np.float32)
+    table[model.index] = model.weight
+    return table
 
 
-def _scores(column: pa.Array, model: ToxicityModel) -> np.ndarray:
-    key = id(model)
-    if key not in _dense:
-        _dense.clear()
-        _dense[key] = np.zeros(1 << BITS, np.float32)
-        _dense[key][model.index] = model.weight
-    table, (data, at) = _dense[key], utf8_column(column)
+def _scores(column: pa.Array, model: ToxicityModel, table: np.ndarray) -> np.ndarray:
+    data, at = utf8_column(column)
     out = np.full(len(at) - 1, model.bias)
     for low, high in chunks(at):
         words = Words(data[at[low] : at[high]], at[low : high + 1] - at[low], NOT_ALNUM)
@@ -167,8 +186,10 @@ def score_toxicity(spark: SparkSession, docs: DataFrame, model: ToxicityModel) -
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        table = dense(model)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), sent.value))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_scores(batch.column("text"), model, table))], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
@@ -180,7 +201,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, model: ToxicityModel, thr
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        table = dense(model)
         for batch in batches:
-            yield batch.filter(pa.array(_scores(batch.column("text"), sent.value) < threshold))
+            yield batch.filter(pa.array(_scores(batch.column("text"), model, table) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -18,9 +18,8 @@ def bounded_batches(spark: SparkSession) -> None:
     """
     for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{key}"
-        now = str(spark.conf.get(key, "0")).lower()
-        size = int(now.rstrip("b")) if now.rstrip("b").lstrip("-").isdigit() else 0
-        if size <= 0 or size > most:
+        now = spark.conf.get(key).lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 
 
