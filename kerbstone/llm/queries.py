@@ -29,7 +29,7 @@ def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links of cosine 0.95, component and whether it is kept."""
     found = vectors.near_duplicate_vectors(spark, _table(spark, sf_dir, "embeddings"), threshold=0.95)
-    return found.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    return found.select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 OP2_SQL = """

@@ -1,23 +1,28 @@
 """Embedding near-dedup over a robust-pruned flat graph.
 
-1. Equal vectors become one representative with a count.
+1. Equal vectors become one representative with a number of its own and a count.
 2. Representatives are dealt to shards: the cells of spherical k-means centres (fitted on a bounded hash sample), each
    representative to its nearest centres, so shards overlap: ``overlap`` and one more for each power of ten of centres.
+   A shard of too many members gets centres of its own until none is left that can be split.
 3. Every shard builds its part of the graph: a node's candidates are its nearest members and some random ones, robustly
    pruned (a candidate goes if one already taken is closer to it, by the factor ALPHA, than the node is).
 4. The shards' adjacency lists of a node are united.
-5. Every shard searches the united graph for each of its members: greedily with a beam from the shard's medoids, then
-   expanding every node found in range until nothing new is in range. Cosines are taken in double precision. A shard
-   gives a spanning forest of the links it found, so its rows never outgrow its members.
+5. Every shard searches the united graph for each of its members: greedily with a beam over visited nodes from the shard's
+   medoids and the member itself, then expanding every node found in range until nothing new is in range. The walk crosses
+   shards: neighbours in other shards that are close enough to lie on a way between two vectors in range come to the
+   shard with their vectors. Cosines are taken in double precision. A shard gives a spanning forest of the links it
+   found, so its rows never outgrow its nodes.
 6. The links' connected components are what range expansion reaches across shards. Within each component the cosines of
    its members are verified in blocks, which counts every member's links; no pair leaves a task.
-7. Recall is audited against brute force for a bounded sample of queries against all rows, a query counting as much as
-   any other however many links it has; below ``audit`` it is all done again with more overlap, and after the last
-   overlap by comparing all blocks of representatives with each other, which misses nothing.
+7. Recall is audited against brute force for a bounded sample of queries, taken evenly from all rows, against all rows. The
+   links counted are verified ones, so a query's count is a subset of its true links and their ratio is its recall; a
+   query counts as much as any other however many links it has. Below ``audit`` it is all done again with more overlap,
+   and after the last overlap by comparing all blocks of representatives with each other, which misses nothing.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; vectors of
-different lengths don't link; equal vectors link; rows that share a vec_id are rows of their own and link if similar;
-an empty table gives no rows.
+different lengths don't link; equal vectors link; rows that share a vec_id are rows of their own, with counts of their
+own; a null vec_id names a component only where no member has another, as null; other columns are ignored, whatever their
+names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,11 +44,17 @@ THRESHOLD = 0.95
 
 @dataclass
 class Graph:
-    """Parameters: members of a shard about and at most, sample of the centres' fit at most, degree, beam, audit."""
+    """Parameters.
+
+    shard_rows: representatives for each centre, as long as the centres take no more than ``centre_bytes`` (they are
+    broadcast); with more rows than that, shards grow. crowd: a shard of so many times shard_rows members is split.
+    sampled: vectors of the fit for each centre.
+    """
 
     shard_rows: int = 1000
-    most_members: int = 6000
-    sample: int = 100_000
+    crowd: int = 6
+    sampled: int = 8
+    centre_bytes: int = 64 << 20
     overlap: int = 2
     nearest: int = 40
     random: int = 12
@@ -92,6 +103,19 @@ def centres_of(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
+def tree_centres(x: np.ndarray, k: int, fan: int = 64) -> np.ndarray:
+    """``k`` centres, about: k-means with at most ``fan`` centres at a time, its cells divided again by their sizes."""
+    if k <= fan or len(x) <= fan:
+        return centres_of(x, k)
+    coarse = centres_of(x[:: max(1, len(x) // (32 * fan))], fan)
+    home = np.concatenate([(x[i : i + 4096] @ coarse.T).argmax(1) for i in range(0, len(x), 4096)])
+    cells = [x[home == c] for c in range(len(coarse))]
+    cells = [c for c in cells if len(c)]
+    if len(cells) == 1:
+        return cells[0][:: max(1, len(x) // k)]
+    return np.concatenate([tree_centres(c, max(1, round(k * len(c) / len(x))), fan) for c in cells])
+
+
 def robust_prune(x: np.ndarray, how: Graph, rng: np.random.Generator) -> list[np.ndarray]:
     """Each member's neighbours: candidates taken nearest first, unless one taken before covers them."""
     n = len(x)
@@ -108,7 +132,7 @@ def robust_prune(x: np.ndarray, how: Graph, rng: np.random.Generator) -> list[np
         cand, c = np.take_along_axis(cand, order, 1), np.take_along_axis(c, order, 1)
         open_ = c > -2
         vec = x[cand]
-        between = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ikd,ild->ikl", vec, vec)))
+        between = np.sqrt(np.maximum(0, 2 - 2 * (vec @ vec.transpose(0, 2, 1))))
         own = np.sqrt(np.maximum(0, 2 - 2 * c))
         taken = np.zeros_like(open_)
         for _ in range(how.degree):
@@ -125,91 +149,164 @@ def robust_prune(x: np.ndarray, how: Graph, rng: np.random.Generator) -> list[np
     return out
 
 
-def _build(how: Graph):
+def _build(how: Graph, threshold: float):
+    # two vectors in range of a third are at least this close to each other
+    close = 2 * threshold * threshold - 1 if threshold > 0 else -1.0
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """(id, next): a member's neighbours in this shard, edges both ways."""
+        """(id, next, close): a member's neighbours in this shard, edges both ways, and those of them that are close."""
         rows = rows.sort_values("id", ignore_index=True)
         ids = rows.id.to_numpy(np.int64)
-        if len(ids) < 2:
-            return pd.DataFrame({"id": ids, "next": [np.zeros(0, np.int64)] * len(ids)})
-        made = robust_prune(matrix(rows.vec), how, np.random.default_rng(len(ids)))
-        a = np.repeat(np.arange(len(ids)), [len(x) for x in made])
+        n, x = len(ids), matrix(rows.vec)
+        none = [np.zeros(0, np.int64)] * n
+        if n < 2:
+            return pd.DataFrame({"id": ids, "next": none, "close": none})
+        made = robust_prune(x, how, np.random.default_rng(n))
+        a = np.repeat(np.arange(n), [len(v) for v in made])
         b = np.concatenate(made)
-        both = np.unique(np.concatenate([a * len(ids) + b, b * len(ids) + a]))
-        return pd.DataFrame({"id": ids, "next": np.split(ids[both % len(ids)], np.searchsorted(both // len(ids), np.arange(1, len(ids))))})
+        both = np.unique(np.concatenate([a * n + b, b * n + a]))
+        a, b = both // n, both % n
+        near = np.concatenate([np.einsum("ij,ij->i", x[a[i : i + 65536]], x[b[i : i + 65536]]) for i in range(0, len(a), 65536)]) >= close
+
+        def lists(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+            return np.split(ids[b], np.searchsorted(a, np.arange(1, n)))
+
+        return pd.DataFrame({"id": ids, "next": lists(a, b), "close": lists(a[near], b[near])})
 
     return run
 
 
-def search(x: np.ndarray, neighbours: np.ndarray, queries: np.ndarray, entries: np.ndarray, beam: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(query, member) pairs in range. ``neighbours`` has a row a member, padded with -1.
+@dataclass
+class Adjacency:
+    """Neighbours of each node: ``to[start[i] : start[i + 1]]``."""
+
+    start: np.ndarray
+    to: np.ndarray
+
+    @classmethod
+    def of(cls, lists: list[np.ndarray]) -> Adjacency:
+        return cls(np.concatenate([[0], np.cumsum([len(v) for v in lists])]).astype(np.int64), np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64))
+
+    def expand(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``nodes``, neighbour) of every edge out of them."""
+        size = self.start[nodes + 1] - self.start[nodes]
+        which = np.repeat(np.arange(len(nodes)), size)
+        return which, self.to[np.repeat(self.start[nodes] - (np.cumsum(size) - size), size) + np.arange(len(which))]
 
-    Each step expands every query's best open node: while the beam has one, the best of the beam; after that any node in range.
+
+def search(x: np.ndarray, graph: Adjacency, queries: np.ndarray, entries: np.ndarray, beam: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(position in ``queries``, node) pairs in range.
+
+    Greedily first: a query keeps its ``beam`` best visited nodes and expands the best that it has not expanded, until there is
+    none. Then every node in range is expanded, until nothing new is in range.
     """
     n, q = len(x), len(queries)
-    cosine = np.full((q, n), -2.0)
-    done = np.zeros((q, n), bool)
-    cosine[:, entries] = x[queries] @ x[entries].T
+    seen, expanded, hit = np.zeros((q, n), bool), np.zeros((q, n), bool), np.zeros((q, n), bool)
+
+    def visit(row: np.ndarray, node: np.ndarray) -> np.ndarray:
+        """Cosines of pairs that have not been seen."""
+        if len(row) * 4 > q * n:
+            cosine = (x[queries] @ x.T)[row, node]
+        else:
+            cosine = np.concatenate([np.zeros(0), *[np.einsum("ij,ij->i", x[queries[row[i : i + 65536]]], x[node[i : i + 65536]]) for i in range(0, len(row), 65536)]])
+        seen[row, node] = True
+        found = cosine >= threshold
+        hit[row[found], node[found]] = True
+        return cosine
+
+    first = np.concatenate([np.tile(entries, (q, 1)), queries[:, None]], axis=1)
+    repeated = np.zeros(first.shape, bool)
+    repeated[:, :-1] = first[:, :-1] == queries[:, None]
+    row, col = np.nonzero(~repeated)
+    value = np.full(first.shape, -2.0)
+    value[row, col] = visit(row, first[row, col])
+    node = np.where(repeated, -1, first)
     active = np.arange(q)
     while len(active):
-        rank = np.where(done[active], -3.0, cosine[active])
-        best = rank.argmax(1)
-        value = rank[np.arange(len(active)), best]
-        bar = np.partition(cosine[active], n - min(beam, n), axis=1)[:, n - min(beam, n)]
-        go = (value > -2) & ((value >= np.minimum(bar, threshold)))
-        active, best = active[go], best[go]
+        open_ = np.where((node >= 0) & ~expanded[active[:, None], np.maximum(node, 0)], value, -2.0)
+        best = open_.argmax(1)
+        go = open_[np.arange(len(active)), best] > -2.0
+        active, node, value, best = active[go], node[go], value[go], best[go]
         if not len(active):
             break
-        done[active, best] = True
-        reach = neighbours[best]
-        at, col = np.nonzero(reach >= 0)
-        node, row = reach[at, col], active[at]
-        new = cosine[row, node] <= -2
-        node, row = node[new], row[new]
-        cosine[row, node] = np.einsum("ij,ij->i", x[queries[row]], x[node])
-    return np.nonzero(cosine >= threshold)
-
-
-def _spanning(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """A forest over 0..n-1 with the components of the pairs."""
-    up = list(range(n))
-
-    def root(i: int) -> int:
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        i, j = root(i), root(j)
-        if i != j:
-            up[max(i, j)] = min(i, j)
-    return [(root(i), i) for i in range(n) if root(i) != i]
+        at = node[np.arange(len(active)), best]
+        expanded[active, at] = True
+        which, to = graph.expand(at)
+        new = ~seen[active[which], to]
+        which, to = which[new], to[new]
+        cosine = visit(active[which], to)
+        # a row for each query: its beam and what is new, of which the best stay
+        count = np.bincount(which, minlength=len(active))
+        place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        more, more_node = np.full((len(active), int(count.max(initial=0))), -2.0), np.full((len(active), int(count.max(initial=0))), -1)
+        more[which, place], more_node[which, place] = cosine, to
+        value, node = np.concatenate([value, more], 1), np.concatenate([node, more_node], 1)
+        if value.shape[1] > beam:
+            top = np.argpartition(-value, beam - 1, axis=1)[:, :beam]
+            value, node = np.take_along_axis(value, top, 1), np.take_along_axis(node, top, 1)
+    while True:
+        row, node_ = np.nonzero(hit & ~expanded)
+        if not len(row):
+            break
+        expanded[row, node_] = True
+        reached = np.zeros((q, n), bool)
+        for i in range(0, len(row), 100_000):
+            which, to = graph.expand(node_[i : i + 100_000])
+            reached[row[i : i + 100_000][which], to] = True
+        row, node_ = np.nonzero(reached & ~seen)
+        visit(row, node_)
+    return np.nonzero(hit)
+
+
+class Forest:
+    """A spanning forest over 0..n-1 of links that come node by node."""
+
+    def __init__(self, n: int):
+        self.label, self.links = np.arange(n), []
+
+    def add(self, node: int, others: np.ndarray) -> None:
+        mine = self.label[others]
+        names, first = np.unique(mine, return_index=True)
+        for name, k in zip(names, first, strict=True):
+            own = self.label[node]
+            if name != own:
+                self.links.append((node, int(others[k])))
+                self.label[self.label == max(name, own)] = min(name, own)
+
+    def add_pairs(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Pairs sorted by ``a``."""
+        cut = np.flatnonzero(np.diff(a)) + 1
+        for part_a, part_b in zip(np.split(a, cut), np.split(b, cut), strict=True):
+            if len(part_a):
+                self.add(int(part_a[0]), part_b)
+
+    def frame(self, ids: np.ndarray) -> pd.DataFrame:
+        made = np.array(self.links, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": ids[made[:, 0]], "b": ids[made[:, 1]]})
 
 
 def _search(how: Graph, threshold: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """(a, b): a spanning forest of the links that the shard's members find."""
+        """(a, b): a spanning forest of the links that the shard's members find. Nodes from other shards bring no neighbours."""
         rows = rows.sort_values("id", ignore_index=True)
         ids, x = rows.id.to_numpy(np.int64), matrix(rows.vec)
-        local = [np.searchsorted(ids, v) for v in (np.asarray(w, np.int64) for w in rows["next"])]
-        local = [i[(i < len(ids))][ids[i[i < len(ids)]] == np.asarray(w, np.int64)[i < len(ids)]] for i, w in zip(local, rows["next"], strict=True)]
-        width = max([1, *map(len, local)])
-        table = np.full((len(ids), width), -1)
-        for k, i in enumerate(local):
-            table[k, : len(i)] = i
-        middle = centres_of(x, how.entries, 4)
-        entries = np.unique((x @ middle.T).argmax(0))
-        found = []
-        for low in range(0, len(ids), 256):
-            queries = np.arange(low, min(low + 256, len(ids)))
-            a, b = search(x, table, queries, entries, how.beam, threshold)
-            a = a + low
-            found.append((a[a < b], b[a < b]))
-            found.append((b[b < a], a[b < a]))
-        a, b = (np.concatenate(v) for v in zip(*found, strict=True))
-        forest = np.array(_spanning(len(ids), a, b), np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": ids[forest[:, 0]], "b": ids[forest[:, 1]]})
+        members = np.flatnonzero(rows.member.to_numpy(bool))
+        if not len(members):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        lists = []
+        for v in rows["next"]:
+            v = np.asarray(v if v is not None else [], np.int64)
+            at = np.minimum(np.searchsorted(ids, v), len(ids) - 1)
+            lists.append(at[ids[at] == v])
+        graph = Adjacency.of(lists)
+        middle = centres_of(x[members], how.entries, 4)
+        entries = np.unique(members[(x[members] @ middle.T).argmax(0)])
+        forest = Forest(len(ids))
+        for low in range(0, len(members), 256):
+            queries = members[low : low + 256]
+            a, b = search(x, graph, queries, entries, how.beam, threshold)
+            forest.add_pairs(queries[a], b)
+        return forest.frame(ids)
 
     return run
 
@@ -230,12 +327,12 @@ def _count(threshold: float):
 
 def _deal(reps: DataFrame, centres: dict[int, np.ndarray], overlap: int) -> DataFrame:
     """(shard, id, vec): each representative in the shards of its nearest centres; a length without centres is one shard."""
-    sent = reps.sparkSession.sparkContext.broadcast(centres)  # at most Graph.sample / 8 vectors
+    sent = reps.sparkSession.sparkContext.broadcast(centres)  # at most Graph.centre_bytes, and what crowded shards added
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dim, vec = batch.column("dim").to_numpy(), batch.column("vec").to_pylist()
-            row, shard = [], []
+            row, shard = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for d in np.unique(dim):
                 there = np.flatnonzero(dim == d)
                 c = sent.value.get(int(d))
@@ -244,36 +341,57 @@ def _deal(reps: DataFrame, centres: dict[int, np.ndarray], overlap: int) -> Data
                     shard.append(np.full(len(there), int(d) << 32))
                     continue
                 k = min(overlap, len(c))
-                cosine = matrix([vec[i] for i in there]) @ c.T
-                top = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-                row.append(np.repeat(there, k))
-                shard.append((int(d) << 32) + top.ravel())
+                for part in np.array_split(there, -(-len(there) * len(c) // (1 << 23))):
+                    cosine = matrix([vec[i] for i in part]) @ c.T
+                    top = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+                    row.append(np.repeat(part, k))
+                    shard.append((int(d) << 32) + top.ravel())
             r, s = np.concatenate(row), np.concatenate(shard)
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), batch.column("id").take(pa.array(r)), batch.column("vec").take(pa.array(r))], ["shard", "id", "vec"])
 
     return reps.select("id", "dim", "vec").mapInArrow(run, "shard long, id long, vec binary")
 
 
-def _fit_centres(reps: DataFrame, how: Graph) -> dict[int, np.ndarray]:
-    sizes = {r["dim"]: r["n"] for r in reps.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(100).collect()}
-    out = {}
-    for dim, n in sizes.items():
-        k = -(-n // how.shard_rows)
-        if k > 1:
-            least = reps.where(F.col("dim") == dim).orderBy(F.xxhash64("id")).limit(min(how.sample, max(4096, 8 * k))).select("vec").collect()
-            out[dim] = centres_of(matrix([bytes(r["vec"]) for r in least]), min(k, how.sample // 8))
-    return out
-
+def _fit_centres(spark: SparkSession, members: DataFrame, sizes: DataFrame, how: Graph) -> dict[int, np.ndarray]:
+    """Centres by length for the shards of ``sizes`` (shard, n, k), each fitted in a task on a bounded hash sample of its members."""
+    picked = members.join(sizes, "shard").where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < F.col("k") * how.sampled * F.lit(float(1 << 30)) / F.col("n"))
 
-def _dense(members: DataFrame, reps: DataFrame, centres: dict[int, np.ndarray], how: Graph) -> bool:
-    """Add centres where shards have too many members; whether there were any."""
-    hot = members.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > how.most_members).orderBy(F.desc("n")).limit(100).collect()
-    for r in hot:
-        least = members.where(F.col("shard") == r["shard"]).orderBy(F.xxhash64("id")).limit(4096).select("vec").collect()
-        dim = int(r["shard"]) >> 32
-        more = centres_of(matrix([bytes(v["vec"]) for v in least]), 2 * -(-r["n"] // how.shard_rows))
-        centres[dim] = np.concatenate([centres[dim], more]) if dim in centres else more
-    return bool(hot)
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("id", ignore_index=True)
+        made = tree_centres(matrix(rows.vec), int(rows.k.iloc[0]))
+        return pd.DataFrame({"shard": int(rows["shard"].iloc[0]), "centre": [c.tobytes() for c in made]})
+
+    out: dict[int, list] = {}
+    found = picked.select("shard", "k", "id", "vec").groupBy("shard").applyInPandas(run, "shard long, centre binary")
+    for r in found.orderBy("shard", "centre").collect():  # centres: see Graph.centre_bytes
+        out.setdefault(r["shard"] >> 32, []).append(bytes(r["centre"]))
+    return {dim: matrix(c) for dim, c in out.items()}
+
+
+def _rows_a_centre(reps: DataFrame, how: Graph) -> int:
+    """shard_rows, or more where centres for so few rows would take more than ``centre_bytes``."""
+    total = reps.agg(F.sum(F.octet_length("vec"))).first()[0] or 0
+    return max(how.shard_rows, -(-total // how.centre_bytes))
+
+
+def _dealt(spark: SparkSession, reps: DataFrame, how: Graph, overlap: int | None = None) -> tuple[DataFrame, int]:
+    """(shard, id, vec) of the members of all shards, and the overlap, which is found from the centres where it is not given."""
+    rows = _rows_a_centre(reps, how)
+    whole = reps.select((F.col("dim").cast("long") * (1 << 32)).alias("shard"), "id", "vec")
+    sizes = whole.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > rows).withColumn("k", F.ceil(F.col("n") / rows))
+    centres = _fit_centres(spark, whole, sizes, how)
+    overlap = overlap or how.overlap + _more_overlap(centres)
+    before = None
+    while True:
+        members = materialise(spark, _deal(reps, centres, overlap), "members")
+        hot = members.groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > how.crowd * rows).withColumn("k", 2 * F.ceil(F.col("n") / rows))
+        crowd = hot.agg(F.sum("n")).first()[0]
+        # done when no shard is crowded, or where more centres hardly thin the crowds out
+        if not crowd or before is not None and crowd > 0.9 * before:
+            return members, overlap
+        before = crowd
+        for dim, more in _fit_centres(spark, members, materialise(spark, hot, "crowded"), how).items():
+            centres[dim] = np.concatenate([centres[dim], more]) if dim in centres else more
 
 
 def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, threshold: float = THRESHOLD, how: Graph | None = None) -> DataFrame:
@@ -282,19 +400,23 @@ def near_duplicate_vectors(spark: SparkSession, vectors: DataFrame, threshold: f
     bounded_batches(spark)
     rows = materialise(spark, vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(_clean, "vec_id long, dim int, vec binary"), "vectors")
     usable = rows.where(F.col("vec").isNotNull())
-    reps = materialise(spark, usable.groupBy("vec", "dim").agg(F.min("vec_id").alias("id"), F.count("*").alias("n")).select("id", "dim", "vec", "n"), "representatives")
-    centres = _fit_centres(reps, how)
-    overlap = how.overlap + _more_overlap(centres)
+    same = usable.groupBy("vec", "dim").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+    reps = materialise(spark, same.select(F.monotonically_increasing_id().alias("id"), "dim", "vec", "least", "n"), "representatives")
+    overlap = None
     while True:
-        counts, comp = _linked(spark, reps, _shard_links(spark, reps, centres, threshold, how, overlap), threshold, how)
+        members, overlap = _dealt(spark, reps, how, overlap)
+        counts, comp = _linked(spark, reps, _shard_links(spark, reps, members, threshold, how), threshold, how)
         if audit(spark, reps, counts, threshold, how.audit_queries, how.small) >= how.audit:
             break
         if overlap >= how.most_overlap:
             counts, comp = _linked(spark, reps, _all_links(reps, threshold, how), threshold, how)
             break
         overlap = min(2 * overlap, how.most_overlap)
-    labelled = reps.join(comp.withColumnRenamed("node", "id"), "id", "left").join(counts, "id", "left")
-    known = labelled.select("vec", "dim", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    # components are of representatives' numbers; each is named by the least vec_id of its rows
+    placed = reps.select("id", "least").join(comp.withColumnRenamed("node", "id"), "id")
+    named = placed.join(placed.groupBy("component").agg(F.min("least").alias("name")), "component").select("id", "name")
+    labelled = reps.join(named, "id", "left").join(counts, "id", "left")
+    known = labelled.select("vec", "dim", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("name", "least").alias("component_id"))
     out = usable.join(known, ["vec", "dim"]).select("vec_id", "n_links", "component_id")
     return out.unionByName(rows.where(F.col("vec").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
 
@@ -304,18 +426,17 @@ def _more_overlap(centres: dict[int, np.ndarray]) -> int:
     return max([len(str(len(c) - 1)) for c in centres.values() if len(c) > 1], default=0)
 
 
-def _shard_links(spark: SparkSession, reps: DataFrame, centres: dict[int, np.ndarray], threshold: float, how: Graph, overlap: int) -> DataFrame:
-    """(a, b): spanning forests of the links that the shards find."""
-    centres = dict(centres)
-    members = materialise(spark, _deal(reps, centres, overlap), "members")
-    for _ in range(4):
-        if not _dense(members, reps, centres, how):
-            break
-        members = materialise(spark, _deal(reps, centres, overlap), "members")
-    lists = members.groupBy("shard").applyInPandas(_build(how), "id long, next array<long>")
-    united = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next"))
+def _shard_links(spark: SparkSession, reps: DataFrame, members: DataFrame, threshold: float, how: Graph) -> DataFrame:
+    """(a, b): spanning forests of the links that the shards find in the united graph."""
+    lists = members.groupBy("shard").applyInPandas(_build(how, threshold), "id long, next array<long>, close array<long>")
+    united = lists.groupBy("id").agg(*[F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("next", "close")])
     united = materialise(spark, united, "adjacency")
-    return members.join(united, "id").groupBy("shard").applyInPandas(_search(how, threshold), "a long, b long")
+    mine = members.select("shard", "id")
+    beyond = mine.join(united.select("id", "close"), "id").select("shard", F.explode("close").alias("id")).distinct()
+    beyond = beyond.join(mine, ["shard", "id"], "left_anti").join(reps.select("id", "vec"), "id")
+    nodes = members.join(united.select("id", "next"), "id").select("shard", "id", "vec", "next", F.lit(True).alias("member"))
+    nodes = nodes.unionByName(beyond.select("shard", "id", "vec", F.lit(None).cast("array<long>").alias("next"), F.lit(False).alias("member")))
+    return nodes.groupBy("shard").applyInPandas(_search(how, threshold), "a long, b long")
 
 
 def _forest(threshold: float):
@@ -327,8 +448,9 @@ def _forest(threshold: float):
             return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
         a, b = np.nonzero(matrix(left.vec) @ matrix(right.vec).T >= threshold)
         ids = np.concatenate([left.id.to_numpy(np.int64), right.id.to_numpy(np.int64)])
-        forest = np.array(_spanning(len(ids), a, b if bi == bj else b + len(left)), np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": ids[forest[:, 0]], "b": ids[forest[:, 1]]})
+        forest = Forest(len(ids))
+        forest.add_pairs(a, b if bi == bj else b + len(left))
+        return forest.frame(ids)
 
     return run
 
