@@ -3,17 +3,19 @@
 Each paragraph is hashed to a wide vector, and the vectors are summed modulo 2**32 lane by lane:
 
 * DENSE lanes: the words of the paragraph's SHA-256. They tell multisets of paragraphs apart.
-* SIGN lanes: the paragraph's length in code points where a bit of its MD5 is set, and nothing where it isn't; and one lane of
-  all lengths. Twice a lane less the total is a random-sign sum, so the cosine of two such vectors estimates which share
-  of the text's paragraphs, by length, two texts have in common.
-
-The sum does not depend on the paragraphs' order, and a paragraph is inserted or deleted by adding or subtracting its
-vector (``combined``). The fingerprint is the lanes in hexadecimal.
-
-All of it is Column expressions. Defined results: a null text counts as empty, which is one empty paragraph; equal texts have
-equal fingerprints; the likeness of texts of length nothing is 1 to each other and 0 to any other; very long texts are hashed
-whole; the text after the last doc_id is the first one's, so a single document follows itself; rows that share a doc_id
-are edited each by itself with the least text of the next doc_id; a null doc_id sorts first; an empty table gives no rows.
+* SIGN lanes: the paragraph is cut into pieces of up to PIECE words, counted from its start; each piece adds its length in
+  code points to the lanes where a bit of its MD5 is set. One more lane has all lengths. Twice a lane less the total is a
+  random-sign sum, so the cosine of two such vectors estimates which share of their pieces, by length, two texts have in common.
+
+No piece crosses a paragraph, so a paragraph's vector depends on the paragraph alone. The sum does not depend on the
+paragraphs' order, and a paragraph is inserted or deleted by adding or subtracting its vector (``combined``). The
+fingerprint is the lanes in hexadecimal.
+
+All of it is Column expressions and one aggregation. Defined results: a null text counts as empty, which is one empty
+paragraph; equal texts have equal fingerprints; the likeness of texts without pieces is 1 to each other and 0 to any
+other; very long texts are hashed whole; the text after the last doc_id is the first one's, so a single document follows
+itself; rows that share a doc_id are edited each by itself with the least text of the next doc_id; a null doc_id sorts
+first; other columns are ignored, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,8 +26,12 @@ from pyspark.sql import functions as F
 from .workspace import materialise
 
 DENSE, SIGN = 8, 64
+#: Words of a piece at most, and characters of a word; a longer word counts as several.
+PIECE, WORD = 4, 24
 _MASK = 0xFFFFFFFF
 _NO_ID = -(1 << 63)
+#: A piece of a text, for Java's patterns and RE2 alike.
+PIECES = f"[^ \\t-\\r]{{1,{WORD}}}(?:[ \\t]*[^ \\t-\\r]{{1,{WORD}}}){{0,{PIECE - 1}}}"
 
 
 def _word(hexadecimal: Column, k: int) -> Column:
@@ -33,37 +39,31 @@ def _word(hexadecimal: Column, k: int) -> Column:
     return F.conv(F.substring(hexadecimal, 8 * k + 1, 8), 16, 10).cast("long")
 
 
-def vector(paragraph: Column) -> Column:
-    """The lanes of one paragraph as array<long>: 8 dense lanes, 32 pairs of sign lanes in one long each, the length."""
-
-    def lanes(x: Column) -> Column:
-        return F.array(
-            *[x["d"][k] for k in range(DENSE)],
-            *[(F.shiftright(x["a"], k).bitwiseAND(F.lit(1)) + F.shiftleft(F.shiftright(x["b"], k).bitwiseAND(F.lit(1)), 32)) * x["n"] for k in range(SIGN // 2)],
-            x["n"],
-        )
-
-    sha, md5 = F.sha2(paragraph, 256), F.md5(paragraph)
-    made = F.array(F.struct(F.array(*[_word(sha, k) for k in range(DENSE)]).alias("d"), _word(md5, 0).alias("a"), _word(md5, 1).alias("b"), F.char_length(paragraph).cast("long").alias("n")))
-    return F.transform(made, lanes)[0]
+def with_lanes(rows: DataFrame, keys: list[str], text: str, out: str = "lanes") -> DataFrame:
+    """(keys..., out): the lanes of each row's text, array<long> of DENSE + SIGN + 1 numbers under 2**32.
 
-
-def lanes(text: Column) -> Column:
-    """The text's lanes, array<long> of DENSE + SIGN + 1 numbers under 2**32."""
-    width = DENSE + SIGN // 2 + 1
-    paragraphs = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    # dense lanes stay under 2**32 after each step; pairs of sign lanes are sums of lengths, which stay under 2**31 each
-    packed = F.aggregate(
-        paragraphs,
-        F.array_repeat(F.lit(0).cast("long"), width),
-        lambda total, p: F.zip_with(total, vector(p), lambda a, b: a + b),
+    The ``keys`` must tell the rows apart. Texts become paragraphs and pieces, each a few numbers, which are summed before
+    they are shuffled: what a shuffle gets is a vector a text, and no task holds more than a text at once.
+    """
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    units = F.concat(
+        F.transform(F.split(whole, "\n", -1), lambda p: F.struct(F.lit(True).alias("whole"), p.alias("unit"))),
+        F.transform(F.regexp_extract_all(whole, F.lit(PIECES), F.lit(0)), lambda p: F.struct(F.lit(False).alias("whole"), p.alias("unit"))),
+    )
+    # names of its own, so that the keys may have any
+    told = rows.select(*keys, F.explode(units).alias("__u")).select(
+        *keys, F.when(F.col("__u.whole"), F.sha2("__u.unit", 256)).alias("__sha"), F.when(~F.col("__u.whole"), F.md5("__u.unit")).alias("__md5"), F.char_length("__u.unit").cast("long").alias("__n")
+    )
+    told = told.select(*keys, *[_word(F.col("__sha"), k).alias(f"__d{k}") for k in range(DENSE)], *[_word(F.col("__md5"), k).alias(f"__m{k}") for k in (0, 1)], F.when(F.col("__md5").isNotNull(), F.col("__n")).alias("__n"))
+    # sums of lengths stay under 2**31, so that two lanes share a long
+    half = SIGN // 2
+    pairs = [F.expr(f"((__m0 >> {k}) & 1L) * __n + shiftleft(((__m1 >> {k}) & 1L) * __n, 32)") for k in range(half)]
+    zero = F.lit(0).cast("long")
+    sums = told.groupBy(*keys).agg(
+        *[F.sum(f"__d{k}").alias(f"__d{k}") for k in range(DENSE)], *[F.coalesce(F.sum(x), zero).alias(f"__p{k}") for k, x in enumerate(pairs)], F.coalesce(F.sum("__n"), zero).alias("__n")
     )
-    return F.transform(F.array(packed), lambda x: F.concat(
-        F.transform(F.slice(x, 1, DENSE), lambda v: v.bitwiseAND(F.lit(_MASK))),
-        F.transform(F.slice(x, DENSE + 1, SIGN // 2), lambda v: v.bitwiseAND(F.lit(_MASK))),
-        F.transform(F.slice(x, DENSE + 1, SIGN // 2), lambda v: F.shiftrightunsigned(v, 32)),
-        F.slice(x, width, 1),
-    ))[0]
+    lanes = [F.col(f"__d{k}").bitwiseAND(F.lit(_MASK)) for k in range(DENSE)] + [F.col(f"__p{k}").bitwiseAND(F.lit(_MASK)) for k in range(half)]
+    return sums.select(*keys, F.array(*lanes, *[F.shiftrightunsigned(f"__p{k}", 32) for k in range(half)], F.col("__n").bitwiseAND(F.lit(_MASK))).alias(out))
 
 
 def rendered(values: Column) -> Column:
@@ -111,18 +111,29 @@ def fingerprints(spark: SparkSession, docs: DataFrame) -> DataFrame:
     after = materialise(spark, neighbours(spark, rows), "neighbours")
     sizes = rows.groupBy("id").agg((F.max(F.char_length("text")) / 2).cast("long").alias("need"))
     wanted = after.join(sizes, "id").select(F.col("next_id").alias("id"), F.col("id").alias("for"), "need")
-    # each document sends the start that the one before it needs, and its lanes
-    least = rows.groupBy("id").agg(F.min("text").alias("text")) if _repeats(rows) else rows
-    sent = least.join(wanted, "id").select(F.col("for").alias("id"), F.expr("left(text, cast(need as int))").alias("start"), lanes(F.col("text")).alias("next_lanes"))
+    # each document sends the start that the one before it needs
+    repeats = _repeats(rows)
+    least = rows.groupBy("id").agg(F.min("text").alias("text")) if repeats else rows
+    sent = least.join(wanted, "id").select(F.col("for").alias("id"), F.expr("left(text, cast(need as int))").alias("start"))
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.expr("left(text, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.expr("left(start, cast(floor(char_length(text) / 2) as int))"))
-    both = rows.join(sent, "id").select("id", "text", n.cast("long").alias("n_chars"), "next_lanes", F.when(half > 0, edited).otherwise(F.col("text")).alias("edited"))
-    made = both.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), lanes(F.col("text")).alias("own"), lanes(F.col("edited")).alias("changed"), "next_lanes")
-    made = materialise(spark, made, "lanes", "zstd")
-    return made.select(
-        F.when(F.col("id") != _NO_ID, F.col("id")).cast(kind).alias("doc_id"), "n_chars", "edited_sha256", rendered(F.col("own")).alias("fingerprint"), rendered(F.col("changed")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next_lanes")).alias("near_next"),
+    both = rows.join(sent, "id").select("id", n.cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha"), "text", F.when(half > 0, edited).otherwise(F.col("text")).alias("edited"))
+    # a row's units stay in the task that reads it, so a number made there tells it apart even if the task runs again
+    kinds = F.array(F.struct(F.lit(False).alias("changed"), F.col("text").alias("text")), F.struct(F.lit(True).alias("changed"), F.col("edited").alias("text")))
+    keys = ["id", "n_chars", "sha", "edited_sha256", "row", "changed"]
+    told = both.select("id", "n_chars", "sha", F.sha2("edited", 256).alias("edited_sha256"), F.monotonically_increasing_id().alias("row"), "text", "edited")
+    texts = told.select(*keys[:-1], F.explode(kinds).alias("x")).select(*keys[:-1], F.col("x.changed").alias("changed"), F.col("x.text").alias("text"))
+    made = materialise(spark, with_lanes(texts, keys, "text"), "lanes", "zstd")
+    own = made.groupBy(*keys[:-1]).agg(F.max_by("lanes", ~F.col("changed")).alias("own"), F.max_by("lanes", "changed").alias("edited"))
+    following = made.where("not changed").select("id", "sha", F.col("lanes").alias("next_lanes"))
+    if repeats:
+        first = least.select("id", F.sha2("text", 256).alias("sha"))
+        following = following.join(first, ["id", "sha"]).groupBy("id").agg(F.first("next_lanes").alias("next_lanes"))
+    following = following.select("id", "next_lanes").join(after.select(F.col("next_id").alias("id"), F.col("id").alias("for")), "id").select(F.col("for").alias("id"), "next_lanes")
+    return own.join(following, "id").select(
+        F.when(F.col("id") != _NO_ID, F.col("id")).cast(kind).alias("doc_id"), "n_chars", "edited_sha256", rendered(F.col("own")).alias("fingerprint"), rendered(F.col("edited")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("edited")).alias("near_edited"), likeness(F.col("own"), F.col("next_lanes")).alias("near_next"),
     )
 
 

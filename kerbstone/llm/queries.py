@@ -80,19 +80,23 @@ def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op7_sql() -> str:
-    dense, pairs = fingerprint.DENSE, fingerprint.SIGN // 2
+    dense, half = fingerprint.DENSE, fingerprint.SIGN // 2
     digit = "('0x' || substr({0}, {1}, 8))::ubigint::bigint"
-    lanes = [f"sum({digit.format('sha256(p)', 8 * k + 1)}) % 4294967296" for k in range(dense)]
-    lanes += [f"sum((({digit.format('md5(p)', 8 * w + 1)} >> {k}) & 1) * length(p))" for w in (0, 1) for k in range(pairs)] + ["sum(length(p))"]
-    made = "[" + ", ".join(f"({x})::bigint" for x in lanes) + "]"
+    paragraphs = [f"(sum({digit.format('sha256(p)', 8 * k + 1)}) % 4294967296)::bigint" for k in range(dense)]
+    pieces = [f"coalesce(sum(((m{w} >> {k}) & 1) * n), 0)::bigint" for w in (0, 1) for k in range(half)] + ["coalesce(sum(n), 0)::bigint"]
     hexed = "array_to_string([lpad(lower(to_hex(v)), 8, '0') for v in {0}], '')"
     signs = "[(2 * v - {0}[73])::double for v in {0}[9:72]]"
     near = f"case when {{0}} = {{1}} then 1.0 when {{0}}[73] = 0 or {{1}}[73] = 0 then 0.0 else greatest(0.0, least(1.0, list_inner_product({signs.format('{0}')}, {signs.format('{1}')}) / sqrt(list_inner_product({signs.format('{0}')}, {signs.format('{0}')}) * list_inner_product({signs.format('{1}')}, {signs.format('{1}')})))) end"
     return f"""
 with d as (select doc_id, coalesce(text, '') as t, coalesce(lag(coalesce(text, '')) over (order by doc_id), max_by(coalesce(text, ''), doc_id) over ()) as nt from documents),
-e as (select doc_id, t, nt, left(t, length(t) - length(t) // 2) || left(nt, length(t) // 2) as edited from d),
-own as (select doc_id, {made} as v from (select doc_id, unnest(string_split(t, chr(10))) as p from e) group by doc_id),
-chg as (select doc_id, {made} as v from (select doc_id, unnest(string_split(edited, chr(10))) as p from e) group by doc_id),
+e as materialized (select doc_id, t, left(t, length(t) - length(t) // 2) || left(nt, length(t) // 2) as edited from d),
+x as (select doc_id, false as changed, t as x from e union all select doc_id, true, edited from e),
+a as (select doc_id, changed, [{', '.join(paragraphs)}] as v from (select doc_id, changed, unnest(string_split(x, chr(10))) as p from x) group by all),
+u as (select doc_id, changed, unnest(regexp_extract_all(x, '{fingerprint.PIECES}')) as p from x),
+w as (select doc_id, changed, {digit.format('md5(p)', 1)} as m0, {digit.format('md5(p)', 9)} as m1, length(p) as n from u),
+b as (select doc_id, changed, [{', '.join(pieces)}] as v from w group by doc_id, changed),
+v as materialized (select doc_id, changed, list_concat(a.v, coalesce(b.v, [0::bigint for i in range({2 * half + 1})])) as v from a left join b using (doc_id, changed)),
+own as (select doc_id, v from v where not changed), chg as (select doc_id, v from v where changed),
 nxt as (select doc_id, coalesce(lag(v) over (order by doc_id), max_by(v, doc_id) over ()) as v from own)
 select doc_id, length(t)::bigint as n_chars, sha256(edited) as edited_sha256, {hexed.format('own.v')} as fingerprint, {hexed.format('chg.v')} as edited_fingerprint,
   round({near.format('own.v', 'chg.v')}, 6) as near_edited, round({near.format('own.v', 'nxt.v')}, 6) as near_next
