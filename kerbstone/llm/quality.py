@@ -9,8 +9,9 @@ l(z) = (1 - z)^2 / 4 the means that the risk is made of depend on the data throu
     R(w) = prior * E_p[l(f)] + max(0, E_u[l(-f)] - prior * E_p[l(-f)])
 
 so the unlabelled risk is that of all documents, whatever their number: one pass sums a matrix of fixed size, and the
-driver descends on the moments. Bin edges are quantiles over all documents. The prior is found with one more pass, as the
-share of unlabelled scores over the median score of positives that were kept apart from the first model. A last pass counts
+driver descends on the moments. Bin edges are quantiles over all documents. The prior is the share of unlabelled values over
+the median value of positives, twice that: documents are halved by hash, a first model is fitted on each half and
+measured on the other one, so no text is measured by a model that saw it, and the mean is taken. A last pass counts
 the model's values in narrow bins, and the logistic curve that turns a value into a score is the one of least unbiased
 logistic risk over these counts.
 
@@ -187,8 +188,14 @@ def _descend(step, rounds: int, rate: float = 0.03) -> np.ndarray:
     return w
 
 
-def fit_apart(p: np.ndarray, u: np.ndarray, l2: float = 1e-4, rounds: int = 1000) -> np.ndarray:
+def _ridge(p: np.ndarray) -> float:
+    """The weight of the squared weights: more where there are few positives."""
+    return 1e-4 + 1 / max(p[-1, -1], 1.0)
+
+
+def fit_apart(p: np.ndarray, u: np.ndarray, rounds: int = 1000) -> np.ndarray:
     """A model that tells positives from unlabelled texts, both of equal weight."""
+    l2 = _ridge(p)
 
     def step(w: np.ndarray) -> np.ndarray:
         return (p @ w - p[-1]) / max(p[-1, -1], 1) + (u @ w + u[-1]) / max(u[-1, -1], 1) + l2 * w
@@ -196,8 +203,9 @@ def fit_apart(p: np.ndarray, u: np.ndarray, l2: float = 1e-4, rounds: int = 1000
     return _descend(step, rounds)
 
 
-def fit_risk(prior: float, p: np.ndarray, u: np.ndarray, l2: float = 1e-4, rounds: int = 2000) -> np.ndarray:
+def fit_risk(prior: float, p: np.ndarray, u: np.ndarray, rounds: int = 2000) -> np.ndarray:
     """Descend on the non-negative risk: where the negatives' part is under nothing, climb back along it alone."""
+    l2 = _ridge(p)
 
     def step(w: np.ndarray) -> np.ndarray:
         own, rest = gradients(w, prior, p, u)
@@ -237,19 +245,26 @@ def _fit(spark: SparkSession, table: DataFrame, labels: DataFrame, max_positive:
         return QualityModel(np.zeros((len(STATISTICS), BINS - 1)), np.zeros(SIZE), 0.0, 0.5)
     edges = np.array([list(found[c]) for c in names])
     sample = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id").distinct()
-    # at most max_positive ids; a quarter of them only measures the prior
-    sample = sample.select("doc_id", F.xxhash64("doc_id").alias("ord")).orderBy("ord", "doc_id").limit(max_positive)
-    sample = materialise(spark, sample.select("doc_id", F.when(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0, 2).otherwise(1).alias("part")), "positives")
-    positive = learn.join(F.broadcast(sample), "doc_id").select(*names, "part")
-    sums = _summed(positive.unionByName(learn.select(*names, F.lit(0).alias("part"))), edges)
+    # at most max_positive ids
+    sample = materialise(spark, sample.select("doc_id", F.xxhash64("doc_id").alias("ord")).orderBy("ord", "doc_id").limit(max_positive).select("doc_id"), "positives")
+    half = F.pmod(F.xxhash64(*names), F.lit(2)).cast("int")
+    positive = learn.join(F.broadcast(sample), "doc_id").select(*names, (half + 2).alias("part"))
+    unlabelled = learn.select(*names, half.alias("part"))
+    sums = _summed(positive.unionByName(unlabelled), edges)
     none = np.zeros((SIZE + 1, SIZE + 1))
-    u, seen, kept = (sums.get(k, none) for k in (0, 1, 2))
-    p = seen + kept
+    (u0, u1, p0, p1) = (sums.get(k, none) for k in range(4))
+    p, u = p0 + p1, u0 + u1
     if not p[-1, -1] or not u[-1, -1]:
         return QualityModel(edges, np.zeros(SIZE), 0.0, 0.5)
-    # the first model must not have seen what the prior is measured on
-    w = fit_apart(seen if seen[-1, -1] and kept[-1, -1] else p, u)
-    prior = _prior(spark, learn, positive.where("part = 2") if kept[-1, -1] else positive, QualityModel(edges, w[:-1], float(w[-1]), 0.5))
+    if all(m[-1, -1] for m in (u0, u1, p0, p1)):
+        halves = [(fit_apart(p0, u0), 1), (fit_apart(p1, u1), 0)]
+    else:  # too few to tell halves apart
+        halves = [(fit_apart(p, u), None)]
+    priors = []
+    for w, k in halves:
+        own, rest = (positive, unlabelled) if k is None else (positive.where(F.col("part") == k + 2), unlabelled.where(F.col("part") == k))
+        priors.append(_prior(own, rest, QualityModel(edges, w[:-1], float(w[-1]), 0.5)))
+    prior = float(np.mean(priors))
     w = fit_risk(prior, p, u)
     model = QualityModel(edges, w[:-1], float(w[-1]), prior)
     model.slope, model.shift = curve(prior, _histogram(positive, model), _histogram(learn, model))
@@ -282,13 +297,13 @@ def _values(batches: Iterator[pa.RecordBatch], model: QualityModel) -> Iterator[
         yield pa.RecordBatch.from_arrays([pa.array(model.value(_table(batch)))], ["f"])
 
 
-def _prior(spark: SparkSession, learn: DataFrame, apart: DataFrame, model: QualityModel) -> float:
+def _prior(positive: DataFrame, unlabelled: DataFrame, model: QualityModel) -> float:
     names = [f"s{k}" for k in range(len(STATISTICS))]
     run = partial(_values, model=model)
-    own = apart.select(*names).mapInArrow(run, "f double")
+    own = positive.select(*names).mapInArrow(run, "f double")
     bar = own.agg(F.percentile_approx("f", 0.5, 10_000)).first()[0]
     over = F.avg(F.when(F.col("f") >= bar, 1.0).otherwise(0.0))
-    return prior_of(learn.select(*names).mapInArrow(run, "f double").agg(over).first()[0], own.agg(over).first()[0])
+    return prior_of(unlabelled.select(*names).mapInArrow(run, "f double").agg(over).first()[0], own.agg(over).first()[0])
 
 
 def _scored(table: DataFrame, model: QualityModel) -> DataFrame:

@@ -1,6 +1,7 @@
 """The ten operators against plain versions, and over nulls, empty texts, ties, repeated rows and empty tables."""
 
 import hashlib
+import math
 import struct
 import zlib
 from collections import Counter, defaultdict
@@ -63,10 +64,12 @@ def test_word_hashes_do_not_cross_texts():
 def test_perfect_hash_is_minimal_and_rejects_strangers():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 1 << 63, (20_000, 2)).astype(np.uint64)
-    made = Index.build(h[:10_000, 0], h[:10_000, 1], np.arange(10_000), np.arange(10_000))
+    made = Index.build(h[:10_000, 0], h[:10_000, 1], np.arange(10_000), np.arange(10_000) * 7, 3)
     assert sorted(made.ranks(h[:10_000, 0], h[:10_000, 1])) == list(range(10_000))
-    found, count, _ = Index.of(made.arrays()).probe(h[:, 0], h[:, 1])
-    assert found[:10_000].all() and not found[10_000:].any() and (count[:10_000] == np.arange(10_000)).all()
+    found, count, keeper = Index.of(made.arrays(), 3).probe(h[:, 0], h[:, 1])
+    assert found[:10_000].all() and found[10_000:].mean() < 0.002 and (count[:10_000] == np.minimum(np.arange(10_000), 255)).all()
+    assert (keeper[3:10_000] == np.arange(3, 10_000) * 7).all() and not keeper[:3].any()
+    assert len(made.bits) * 8 < 6 * 10_000 and sum(map(len, made.arrays().values())) < 4 * 10_000 + 8 * 9_997
     assert not Index.build(*np.zeros((2, 0), np.uint64), [], []).probe(h[:5, 0], h[:5, 1])[0].any()
 
 
@@ -77,6 +80,46 @@ def test_line_dedup(docs, spark, broadcast_bytes):
     assert got == sorted((i, *want[i]) for i, _ in TEXTS)
 
 
+def plain_lines(rows, min_docs=3, min_chars=20):
+    """Brute force: (doc_id, kept text, dropped) of rows (doc_id, text)."""
+    def key(line):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+
+    held = defaultdict(list)
+    for i, t in rows:
+        for k in {key(x) for x in (t or "").split("\n")}:
+            if len(k) >= min_chars:
+                held[k].append(-math.inf if i is None else i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(held.get(key(x), [])) < min_docs or max(held[key(x)]) == (-math.inf if i is None else i)]
+        out.append((i, "\n".join(kept), len(lines) - len(kept)))
+    return out
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_line_dedup_against_brute_force(spark, broadcast_bytes, monkeypatch):
+    rng = np.random.default_rng(11)
+    pool = [f"Shared line number {k} of the pool" + " \t" * (k % 3) for k in range(60)] + ["short"]
+    rows = [(None if k % 17 == 0 else int(rng.integers(400)), None if k % 50 == 0 else "\n".join(rng.choice(pool, int(rng.integers(1, 6)))) + f"\nown line of text {k} only here") for k in range(900)]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, __id int, __away string").repartition(5)
+    monkeypatch.setattr(linededup.gone_lines, "__defaults__", (3, 20, 200))  # many copies of a shard
+    monkeypatch.setattr(linededup.line_index, "__defaults__", (3, 20, 100))
+    found = linededup.dedup_lines(spark, docs, counted=True, broadcast_bytes=broadcast_bytes)
+    order = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0], r[1], r[2]))
+    assert order((r.doc_id, r.text, r.n_dropped) for r in found.collect()) == order(plain_lines(rows))
+    assert found.columns == ["doc_id", "text", "__id", "__away", "n_lines", "n_dropped"]
+
+
+def test_dealt_lines_probe_the_index_instead_of_joining_lines(docs, spark):
+    index, shards = linededup.line_index(spark, docs)
+    plan = linededup.gone_lines(spark, docs, index, shards)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "h1" in plan
+    joins = [x for x in plan.split("\n") if "Join" in x]
+    assert joins and all("shard" in x and "h1" not in x and "h2" not in x for x in joins)
+
+
 def test_near_duplicates_against_brute_force(docs, spark):
     got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark, docs).collect()}
     assert got == classes(dict(TEXTS).items())
@@ -121,6 +164,15 @@ def test_near_duplicate_chain_and_cross_blocks(spark):
     assert parts == classes(texts)
 
 
+def test_leader_of_many_pairs_is_copied(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "LEADER_PAIRS", 3)
+    texts = [(i, BASE if i == 0 else BASE.replace(f"w{i} ", "x ")) for i in range(12)]
+    docs = minhash.numbered(spark, spark.createDataFrame(texts, "doc_id long, text string"))
+    number = {r.doc_id: r[minhash.ROW] for r in docs.collect()}
+    pairs = spark.createDataFrame([(number[0], number[i]) for i in range(1, 12)], "a long, b long")
+    assert {r.b for r in minhash.verified(spark, pairs, docs).collect()} == {number[i] for i in range(1, 12)}
+
+
 def test_signature_estimates_multiset_similarity():
     a, b = BASE, BASE + " " + " ".join(BASE.split()[:80])
     data, at = words.utf8_column(pa.array([a, b]))
@@ -204,10 +256,12 @@ def test_fingerprints(docs, spark):
 
 
 def test_fingerprint_is_a_homomorphism(spark):
-    rows = spark.createDataFrame([("x\ny\nz", "z\nx", "y", "z\ny\nx")], "a string, b string, c string, d string")
-    whole, part, rest, other = (fingerprint.lanes(F.col(c)) for c in "abcd")
-    r = rows.select(whole.alias("w"), other.alias("o"), fingerprint.combined(part, rest).alias("i"), fingerprint.combined(whole, rest, -1).alias("d"), part.alias("p")).first()
-    assert r.w == r.o == r.i and r.d == r.p
+    texts = {"whole": "x a b c d e f\ny\nz", "part": "z\nx a b c d e f", "rest": "y", "other": "z\ny\nx a b c d e f"}
+    rows = spark.createDataFrame(list(texts.items()), "name string, text string")
+    lanes = fingerprint.with_lanes(rows, ["name"], "text")
+    r = lanes.groupBy().pivot("name", list(texts)).agg(F.first("lanes"))
+    r = r.select("*", fingerprint.combined(F.col("part"), F.col("rest")).alias("i"), fingerprint.combined(F.col("whole"), F.col("rest"), -1).alias("d")).first()
+    assert r.whole == r.other == r.i and r.d == r.part and r.part != r.whole
 
 
 def test_licences(docs):
@@ -258,16 +312,116 @@ def test_toxic_words_are_learned(spark):
     assert len(model.index) < 200
 
 
-def test_positive_unlabelled_prior():
+def test_scores_depend_on_the_model_alone(docs, spark):
+    def model(bias, n):
+        return toxicity.ToxicityModel(np.arange(n, dtype=np.int64) * 7 % (1 << 20), np.full(n, 0.5, np.float32), bias)
+
+    made = [model(0.1 * k, 150_000 * (k % 4)) for k in range(8)]
+    column = pa.array([t for _, t in TEXTS])
+    want = [toxicity._scores(column, m, toxicity.dense(m)) for m in made]
+    for k in list(range(8)) * 2:
+        got = {(r.doc_id, r.score) for r in toxicity.score_toxicity(spark, docs, made[k]).collect()}
+        assert got == {(i, float(x)) for (i, _), x in zip(TEXTS, want[k], strict=True)}
+    assert len({tuple(w) for w in want}) == 8
+
+
+def test_ftrl_against_a_plain_loop():
+    rng = np.random.default_rng(12)
+    rows = [(k, int(rng.random() < 0.4), np.unique(rng.integers(0, 40, 8)).astype(np.int32)) for k in range(300)]
+    how = toxicity.Ftrl(l1=0.5, calibration=0.25)
+    w, bias = toxicity.ftrl(list(rows), how)
+    seen = Counter(int(f) for _, _, x in rows for f in x)
+    kept = [(y, [int(f) for f in x if seen[f] >= how.min_docs]) for _, y, x in rows]
+    z, n, b, nb = defaultdict(float), defaultdict(float), 0.0, 0.0
+
+    def weight(f):
+        if abs(z[f]) <= how.l1:
+            return 0.0
+        return -(z[f] - math.copysign(how.l1, z[f])) / ((how.beta + math.sqrt(n[f])) / how.alpha + how.l2)
+
+    for _ in range(how.epochs):
+        for y, x in kept[:225]:
+            ws = {f: weight(f) for f in x}
+            g = 1 / (1 + math.exp(-(b + sum(ws.values())))) - y
+            for f in x:
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / how.alpha * ws[f]
+                n[f] += g * g
+            nb += g * g
+            b -= how.alpha * g / (how.beta + math.sqrt(nb))
+    plain = np.array([weight(f) for f in range(40)])
+    scale = (w[:40] @ plain) / (plain @ plain)
+    assert np.allclose(w[:40], scale * plain, atol=1e-9) and 0 < (plain != 0).sum() and not w[40:].any()
+    # Platt: no other scale and bias has a lesser loss on the part that was kept apart
+    def loss(a, c):
+        return sum(math.log1p(math.exp(-(2 * y - 1) * (a * sum(plain[f] for f in x) + c))) for y, x in kept[225:]) + 5e-3 * ((a - 1) ** 2 + (c - b) ** 2)
+
+    assert all(loss(scale, bias) <= loss(scale + d, bias + e) + 1e-9 for d in (-0.05, 0, 0.05) for e in (-0.05, 0, 0.05))
+
+
+def _pu(rng, n_p=3000, n_u=6000, share=0.7):
+    good = rng.normal(0, 1, (n_p + n_u, len(quality.STATISTICS)))
+    bad = rng.normal(2.5, 1, (n_u, len(quality.STATISTICS)))
+    y = rng.random(n_u) < share
+    u = np.where(y[:, None], good[n_p:], bad)
+    edges = np.quantile(u, np.linspace(0, 1, quality.BINS + 1)[1:-1], axis=0).T
+    return good[:n_p], u, y, edges
+
+
+def test_positive_unlabelled_risk_against_plain_means():
     rng = np.random.default_rng(5)
-    good, bad = rng.normal(0, 1, (9000, 4)), rng.normal(4, 1, (1500, 4))
-    model = quality.fit_matrix(good[:4000], np.concatenate([good[4000:], bad]))
-    assert abs(model.prior - 5000 / 6500) < 0.1
-
-    def p(x):
-        return model.weight[quality._one_hot(x, model.edges)].sum(1) + model.bias
-
-    assert (p(good) > 0).mean() > 0.95 and (p(bad) < 0).mean() > 0.95
+    p, u, _, edges = _pu(rng, 300, 500)
+    w = rng.normal(0, 0.2, quality.SIZE + 1)
+    m_p, m_u = quality.moments_of(p, edges), quality.moments_of(u, edges)
+
+    def f(x):
+        return np.array([sum(w[int(np.sum(x[i, k] >= edges[k])) + k * (quality.BINS + 1)] for k in range(x.shape[1])) + w[-1] for i in range(len(x))])
+
+    prior, fp, fu = 0.6, f(p), f(u)
+    want = prior * np.mean((1 - fp) ** 2) / 4, np.mean((1 + fu) ** 2) / 4 - prior * np.mean((1 + fp) ** 2) / 4
+    assert np.allclose(quality.risk(w, prior, m_p, m_u), want)
+    own, rest = quality.gradients(w, prior, m_p, m_u)
+    for k in rng.integers(0, len(w), 20):
+        step = np.zeros(len(w))
+        step[k] = 1e-5
+        up, down = quality.risk(w + step, prior, m_p, m_u), quality.risk(w - step, prior, m_p, m_u)
+        assert np.allclose([(a - b) / 2e-5 for a, b in zip(up, down, strict=True)], [own[k], rest[k]], atol=1e-6)
+
+
+def test_positive_unlabelled_model_and_curve():
+    p, u, y, edges = _pu(np.random.default_rng(6))
+    m_p, m_u = quality.moments_of(p, edges), quality.moments_of(u, edges)
+    w = quality.fit_apart(quality.moments_of(p[:1500], edges), quality.moments_of(u[:3000], edges))
+    first = quality.QualityModel(edges, w[:-1], w[-1], 0.5)
+    bar = np.median(first.value(p[1500:]))
+    prior = quality.prior_of((first.value(u[3000:]) >= bar).mean(), (first.value(p[1500:]) >= bar).mean())
+    assert abs(prior - 0.7) < 0.05
+    w = quality.fit_risk(prior, m_p, m_u)
+    assert quality.risk(w, prior, m_p, m_u)[1] > -0.01  # the negatives' part stays at or over nothing
+    model = quality.QualityModel(edges, w[:-1], w[-1], prior)
+    assert ((model.value(u) > 0) == y).mean() > 0.97
+
+    def counts(x):
+        return np.bincount(np.clip(np.rint(model.value(x) / quality.VALUE_STEP), -quality.VALUE_BINS, quality.VALUE_BINS).astype(int) + quality.VALUE_BINS, minlength=2 * quality.VALUE_BINS + 1)
+
+    model.slope, model.shift = quality.curve(prior, counts(p), counts(u))
+    score = model.score(u)
+    assert ((score >= 0.3) == y).mean() > 0.97 and abs(score.mean() - prior) < 0.02 and 0 <= score.min() and score.max() <= 1
+
+
+def test_quality_is_learned_from_all_documents(spark):
+    """Held-out accuracy; labels of 0 and of the held-out fifth change nothing."""
+    rng = np.random.default_rng(13)
+    good = rng.random(6000) < 0.7
+    texts = [" ".join(f"word{k}" for k in rng.integers(0, 300, 40)) + "." if g else "BUY!! " * int(rng.integers(10, 60)) + "### $$$" for g in good]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good) if i % 3 == 0], "doc_id long, quality int")
+    scored, model = quality.classify(spark, docs, labels)
+    got = {r.doc_id: r.score for r in scored.collect()}
+    held = {r.doc_id for r in docs.where(toxicity.held_out()).collect()}
+    assert 1000 < len(held) < 1400 and np.mean([(got[i] >= 0.3) == good[i] for i in held]) > 0.98 and abs(model.prior - 0.7) < 0.1
+    flipped = labels.withColumn("quality", F.when(toxicity.held_out(), 1 - F.col("quality")).when(F.col("quality") == 0, None).otherwise(F.col("quality")))
+    again = {r.doc_id: r.score for r in quality.classify(spark, docs, flipped)[0].collect()}
+    assert again == pytest.approx(got, abs=1e-9)
 
 
 def test_vectors_against_brute_force(spark):
@@ -275,7 +429,7 @@ def test_vectors_against_brute_force(spark):
     x = rng.normal(size=(400, 16))
     x = np.concatenate([x, x[:60] + 0.05 * rng.normal(size=(60, 16)), x[:20], np.tile(x[5], (30, 1)) + 0.08 * rng.normal(size=(30, 16))])
     rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)] + [(900, None), (901, []), (902, [0.0] * 16), (903, [float("nan")] * 16), (904, [1.0, None]), (905, [1.0, 2.0]), (906, [1e200, 2e200]), (905, [2.0, 4.0])]
-    got = vectors.near_duplicate_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), how=vectors.Graph(shard_rows=100, most_members=300)).collect()
+    got = vectors.near_duplicate_vectors(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), how=vectors.Graph(shard_rows=100, crowd=3)).collect()
     u = x / np.linalg.norm(x, axis=1, keepdims=True)
     close = u @ u.T >= 0.95
     np.fill_diagonal(close, False)
@@ -310,6 +464,219 @@ def test_vectors_are_compared_exactly_where_recall_stays_low(spark):
     assert got == dict(enumerate(close.sum(1).tolist()))
 
 
+def pairs_of(n, dims=64, seed=14):
+    """Isolated pairs of cosine 0.95 to 0.99."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = rng.normal(size=(n, dims))
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    c = rng.uniform(0.951, 0.99, (n, 1))
+    return np.concatenate([x, c * x + np.sqrt(1 - c * c) * y])
+
+
+def test_isolated_pairs_over_many_shards(spark):
+    x = np.concatenate([pairs_of(1200), np.random.default_rng(15).normal(size=(600, 64))])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    how = vectors.Graph(shard_rows=100, audit=0.0)  # what the graph itself finds
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    reps = frame.select(F.col("vec_id").alias("id"), F.lit(64).alias("dim"), F.expr("embedding").alias("e")).rdd.map(lambda r: (r.id, r.dim, (np.array(r.e) / np.linalg.norm(r.e)).tobytes())).toDF("id long, dim int, vec binary")
+    members, _ = vectors._dealt(spark, reps, how)
+    sizes = [r["count"] for r in members.groupBy("shard").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= how.crowd * how.shard_rows
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicate_vectors(spark, frame, how=how).collect()}
+    found = sum(got[i] == (1, i) and got[i + 1200] == (1, i) for i in range(1200))
+    assert found >= 0.99 * 1200 and all(got[i] == (0, i) for i in range(2400, 3000))
+
+
+def test_search_walks_into_other_shards():
+    # 0-1-2 on a way, 2 from another shard
+    turn = lambda a: np.array([np.cos(a), np.sin(a)])
+    x = np.array([turn(0.0), turn(0.2), turn(0.4), turn(2.0)])
+    graph = vectors.Adjacency.of([np.array([1]), np.array([0, 2]), np.zeros(0, np.int64), np.array([0])])
+    a, b = vectors.search(x, graph, np.array([0, 1, 3]), np.array([3]), 4, 0.95)
+    assert sorted(zip([(0, 1, 3)[k] for k in a], b.tolist(), strict=True)) == [(0, 0), (0, 1), (1, 0), (1, 1), (1, 2), (3, 3)]
+
+
+def test_rows_that_share_a_vec_id_have_counts_of_their_own(spark):
+    e = np.eye(4)
+    rows = [(1, e[0]), (1, e[1]), (2, e[0] * 2), (3, e[0] + 0.01 * e[2]), (4, e[1]), (None, e[3]), (None, e[3] * 3), (None, None), (7, e[3])]
+    frame = spark.createDataFrame([(i, None if v is None else [float(c) for c in v], 0) for i, v in rows], "vec_id long, embedding array<double>, id int")
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicate_vectors(spark, frame).collect()), key=str)
+    assert got == sorted([(1, 2, 1), (1, 1, 1), (2, 2, 1), (3, 2, 1), (4, 1, 1), (None, 2, 7), (None, 2, 7), (7, 2, 7), (None, 0, None)], key=str)
+
+
+def test_near_duplicate_recall_is_measured(spark):
+    rng = np.random.default_rng(16)
+    texts = []
+    for k in range(40):
+        base = [f"k{k}w{j}" for j in range(120)]
+        for c in range(4):
+            now = list(base)
+            for j in rng.integers(0, 120, c):
+                now[j] = f"c{c}j{j}"
+            texts.append((4 * k + c, " ".join(now)))
+    docs = minhash.numbered(spark, spark.createDataFrame(texts, "doc_id long, text string"))
+    found = minhash.near_duplicates(spark, docs)
+    assert minhash.recall(spark, docs, found, 160) >= 0.99
+    assert minhash.recall(spark, docs, found.withColumn("class_id", F.col("doc_id")), 160) == 0.0
+    # brute force: which links are lost if the first text of each family stands alone
+    lost = found.withColumn("class_id", F.when(F.col("doc_id") % 4 == 0, -1 - F.col("doc_id")).otherwise(F.floor(F.col("doc_id") / 4)))
+    sets = [grams(t) for _, t in texts]
+    near = [[b for b in range(160) if b != a and sum((sets[a] & sets[b]).values()) >= 0.8 * sum((sets[a] | sets[b]).values())] for a in range(160)]
+    want = np.mean([np.mean([a % 4 > 0 and b % 4 > 0 for b in x]) for a, x in enumerate(near) if x])
+    assert abs(minhash.recall(spark, docs, lost, 160) - want) < 1e-9 and 0.1 < want < 0.9
+
+
+def test_fingerprint_likeness_of_one_line(spark):
+    rng = np.random.default_rng(17)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 2000, 200))) for i in range(60)]
+    got = fingerprint.fingerprints(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.near_edited > r.near_next for r in got) and abs(np.mean([r.near_edited for r in got]) - 0.5) < 0.05
+
+
+def test_licence_notices_inside_longer_texts(spark):
+    t = licences.TEMPLATES
+    bsd = "\n\n".join(["BSD 2-Clause License", "Copyright (c) 2020, Foo", *(t["BSD-2-Clause"][k] for k in (2, 3, 4, 5))])
+    apache = "# " + t["Apache-2.0"][4].replace("; ", ";\n# ").replace("at http", "at\n#\n#    http").replace("2.0 Unless", "2.0\n#\n# Unless") + "\nimport os"
+    rows = [
+        (1, "// Copyright 2020 Foo. Licensed under the MIT License. Thanks to all."), (2, "Licensed under the Apache License,\nVersion 2.0. Some more prose goes on here"), (3, "Our tools are free to use. Released under the MIT License."),
+        (4, bsd), (5, apache), (6, "\n".join(["Released under the MIT License."] * 1200)), (7, "clean words only."), (7, None), (None, "This work is licensed under a\nCreative Commons Attribution 4.0 International License. More."),
+    ]
+    got = defaultdict(set)
+    for r in licences.scan(spark.createDataFrame([(i, x, "y") for i, x in rows], "doc_id long, text string, segment string")).collect():
+        got[r.doc_id].add((r.level, r.licence))
+    assert got[1] == {("sentence", "MIT")} and ("sentence", "Apache-2.0") in got[2] and got[3] == {("sentence", "MIT")} and ("sentence", "CC-BY-4.0") in got[None]
+    assert {("text", "BSD-2-Clause"), ("line", "BSD-2-Clause")} <= got[4] and {x for _, x in got[5]} == {"Apache-2.0"} and 7 not in got
+    # each line, and the text, whose distinct bigrams are the line's and one more
+    assert licences.scan(spark.createDataFrame(rows[5:6], "doc_id long, text string")).count() == 1201
+
+
+def test_sharding_levels_and_balance(spark):
+    rng = np.random.default_rng(18)
+    docs = spark.createDataFrame([(i, "x" * int(rng.integers(0, 3000))) for i in range(3000)] + [(None, None), (5, ""), (6, None)], "doc_id long, text string").repartition(4)
+    rows = sharding.shard_by_bytes(spark, docs, buckets=30, fan=4).collect()
+    total = Counter()
+    for r in rows:
+        total[r.shard] += r.size
+    assert len(rows) == 3003 and max(total.values()) - min(total.values()) <= 100
+    assert len({r.shard for r in rows if r.size == 1}) == 1  # null and empty texts are one group
+
+
+def test_mixing_tells_of_targets_that_contradict_each_other(spark):
+    docs = spark.createDataFrame([(1, "a b", "en", "x"), (2, "c d", "de", "y")], "doc_id long, text string, lang string, source string")
+    with pytest.warns(UserWarning, match="contradict"):
+        mixing.mix(spark, docs, targets={"source": {"x": 0.9, "y": 0.1}, "lang": {"en": 0.1, "de": 0.9}}).count()
+
+
+#: What every stage has to live with: null ids and texts, empty texts, ties, repeated rows, clashing names, a very long text.
+CLASHING = "doc_id long, text string, lang string, source string, p double, id int, __id int, __away string, shard int, sha string, row int, lanes int, score int, n_lines int, __p int, class int"
+ODD = [(None, "clean without an id"), (None, None), (None, "clean without an id"), (1, None), (1, ""), (2, "tie one two three four five"), (2, "tie one two three four five"), (3, " \n\t\n"), (4, "word " * 40_000), (5, "x" * 300_000), (6, f"{LINE}\n" * 4), (7, LINE), (8, LINE), (9, "é\x00\U0001f600 z")]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(i, t, None if k % 3 else "en", None if k % 4 else "s", 0.5, k, k, "a", 1, "h", 2, 3, 4, 5, 6, 7) for k, (i, t) in enumerate(ODD)], CLASHING).repartition(3)
+
+
+def ids(frame):
+    return sorted((r.doc_id for r in frame.select("doc_id").collect()), key=str)
+
+
+EVERY = sorted((i for i, _ in ODD), key=str)
+
+
+@pytest.mark.parametrize("name", ["licences", "packing", "sharding", "mixing", "minhash", "fingerprint", "linededup", "quality", "toxicity"])
+def test_odd_rows(odd, spark, name):
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in (1, 1, 2, 2, 3, 4, 6, 7, 8, 9)] + [(None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    if name == "licences":
+        assert licences.scan(odd).count() == 0
+    elif name == "packing":
+        rows = packing.pack(spark, odd, queries.word_bpe()).collect()
+        assert sorted({r.doc_id for r in rows}, key=str) == sorted(set(EVERY), key=str) and sum(r.length for r in rows if r.doc_id == 1) == 2
+    elif name == "sharding":
+        found = sharding.shard_by_bytes(spark, odd)
+        assert ids(found) == EVERY and len({r.shard for r in found.where("size = 1").collect()}) == 1
+    elif name == "mixing":
+        found = mixing.mixed(spark, odd)
+        assert ids(found) == EVERY and found.columns[: len(odd.columns)] == odd.columns and found.columns[-2] == "___p"
+        assert mixing.mix(spark, odd).columns == odd.columns
+    elif name == "minhash":
+        found = minhash.near_duplicates(spark, odd)
+        # one row stays of: no words, the text without an id, the tie, the two short lines, and each of the others
+        assert ids(found) == EVERY and ids(found.where("kept")) == sorted([None, 1, 2, 4, 5, 6, 7, 9], key=str)
+    elif name == "fingerprint":
+        found = fingerprint.fingerprints(spark, odd).collect()
+        assert sorted((r.doc_id for r in found), key=str) == EVERY
+        by = defaultdict(set)
+        text = {(i, len(t or "")): t or "" for i, t in ODD}
+        for r in found:
+            by[text[r.doc_id, r.n_chars]].add(r.fingerprint)
+        assert all(len(v) == 1 for v in by.values()) and len(set.union(*by.values())) == len(by)
+    elif name == "linededup":
+        found = linededup.dedup_lines(spark, odd)
+        assert found.columns == odd.columns
+        order = lambda rows: sorted(rows, key=str)
+        assert order((r.doc_id, r.text) for r in found.collect()) == order((i, t) for i, t, _ in plain_lines(ODD))
+    elif name == "quality":
+        found, _ = quality.classify(spark, odd, labels)
+        assert ids(found) == EVERY
+    else:
+        model = toxicity.fit_toxicity(spark, odd, labels)
+        assert ids(toxicity.score_toxicity(spark, odd, model)) == EVERY and toxicity.reject_toxic(spark, odd, model).columns == odd.columns
+
+
+def test_odd_rows_through_the_pipeline(odd, spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([(2, 1, 0), (4, 1, 0), (6, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(str(tmp_path / name))
+        docs, before = spark.read.parquet(str(tmp_path / name)), docs
+        assert name == "packing" or docs.columns == before.columns
+    assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0
+
+
+def test_arrow_bounds_are_only_lowered(spark):
+    from kerbstone.llm.workspace import BATCH_ROWS, bounded_batches
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    bounded_batches(spark)
+    assert spark.conf.get(key) == "50"
+    spark.conf.set(key, "50000")
+    bounded_batches(spark)
+    assert spark.conf.get(key) == str(BATCH_ROWS)
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_contract_query(spark, name):
+    """Every query over the smallest tables, against its SQL twin where it has one."""
+    import os
+
+    import duckdb
+    from test_queries import sorted_rows
+
+    folder = "/root/testdata/sf0.001"
+    found = queries.queries()[name](spark, folder)
+    rows = found.collect()
+    if name not in queries.oracle_sql():
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        assert {r.doc_id for r in rows} == {r.doc_id for r in docs.select("doc_id").collect()} and (name == "op3_packing" or len(rows) == docs.count())
+        return
+    c = duckdb.connect()
+    for f in os.listdir(folder):
+        c.execute(f"create view {f.split('.')[0]} as select * from '{folder}/{f}'")
+    got = c.execute(queries.oracle_sql()[name])
+    names = [d[0] for d in got.description]
+    assert sorted_rows(found.columns, rows) == sorted_rows(names, got.fetchall())
+
+
 def test_empty_tables(none, spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
