@@ -55,8 +55,13 @@ def segments(line: Column) -> Column:
     )
 
 
+def bound(x: Column, made) -> Column:
+    """``made`` of a name for ``x``, so that an expression is evaluated once however often it is used."""
+    return F.transform(F.array(x), made)[0]
+
+
 def length(line: Column) -> Column:
-    return F.aggregate(segments(line), F.lit(0.0), lambda t, s: t + F.hypot(s["bx"] - s["ax"], s["by"] - s["ay"]))
+    return bound(line, lambda v: F.aggregate(segments(v), F.lit(0.0), lambda t, s: t + F.hypot(s["bx"] - s["ax"], s["by"] - s["ay"])))
 
 
 def relative_error(measured: Column, reported: Column) -> Column:
@@ -66,6 +71,10 @@ def relative_error(measured: Column, reported: Column) -> Column:
 
 def _along(line: Column) -> Column:
     """Per segment: the distance to its start, and its length."""
+    return bound(line, _walked)
+
+
+def _walked(line: Column) -> Column:
     return F.aggregate(
         segments(line),
         F.struct(F.lit(0.0).alias("d"), F.array().cast("array<struct<d:double,w:double,ax:double,ay:double,bx:double,by:double>>").alias("out")),

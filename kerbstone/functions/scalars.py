@@ -68,6 +68,10 @@ def oakland_class(code: Column) -> Column:
 
 def osm_class(tags: Column) -> Column:
     """The class of a map of tags."""
+    return F.transform(F.array(tags), _osm_class)[0]  # the map is made once, whatever expression it is
+
+
+def _osm_class(tags: Column) -> Column:
     sides = F.filter(F.array(*[F.get(F.array(tags[k]), 0) for k in ("cycleway", "cycleway:both", "cycleway:left", "cycleway:right")]), lambda v: F.coalesce(v, F.lit("")) != "")
     buffered = F.exists(F.map_keys(tags), lambda k: F.contains(k, F.lit("buffer"))) | F.array_contains(sides, "buffered_lane")
     return (

@@ -21,11 +21,29 @@ def cells(ax: Column, ay: Column, bx: Column, by: Column, size: float, reach: fl
     return F.flatten(F.transform(F.sequence(x0, x1), lambda x: F.transform(F.sequence(y0, y1), lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
 
 
+def cells_along(ax: Column, ay: Column, bx: Column, by: Column, size: float, reach: float = 0.0) -> Column:
+    """array<struct<cx, cy>> of the cells in which a point can lie that is within ``reach`` of the segment.
+
+    Column by column of the grid, the part of the segment that its points can be near to: a long diagonal has cells along it,
+    not those of its box.
+    """
+
+    def column(x: Column) -> Column:
+        run = F.nullif(bx - ax, F.lit(0.0))
+        ends = F.array(F.coalesce((x * size - reach - ax) / run, F.lit(0.0)), F.coalesce(((x + 1) * size + reach - ax) / run, F.lit(1.0)))
+        inside = F.transform(ends, lambda t: ay + F.greatest(F.lit(0.0), F.least(F.lit(1.0), t)) * (by - ay))
+        rows = F.sequence(F.floor((F.array_min(inside) - reach) / size), F.floor((F.array_max(inside) + reach) / size))
+        return F.transform(rows, lambda y: F.struct(x.alias("cx"), y.alias("cy")))
+
+    x0, x1 = F.floor((F.least(ax, bx) - reach) / size), F.floor((F.greatest(ax, bx) + reach) / size)
+    return F.flatten(F.transform(F.sequence(x0, x1), column))
+
+
 def points_near_segments(points: DataFrame, segments: DataFrame, radius: float, size: float | None = None) -> DataFrame:
     """Every (point, segment) within the radius, with the distance. A point has one cell, so no pair is met twice."""
     size = size or max(4 * radius, 1e-9)
     left = points.withColumns({"cx": F.floor(F.col("px") / size), "cy": F.floor(F.col("py") / size)})
-    right = segments.withColumn("__c", F.explode(cells(*[F.col(c) for c in ("ax", "ay", "bx", "by")], size, radius))).select(*segments.columns, "__c.cx", "__c.cy")
+    right = segments.withColumn("__c", F.explode(cells_along(*[F.col(c) for c in ("ax", "ay", "bx", "by")], size, radius))).select(*segments.columns, "__c.cx", "__c.cy")
     gap = segment_distance(*[F.col(c) for c in ("px", "py", "ax", "ay", "bx", "by")])
     return left.join(right, ["cx", "cy"]).withColumn("distance", gap).where(F.col("distance") <= radius).drop("cx", "cy")
 

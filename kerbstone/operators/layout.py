@@ -110,6 +110,68 @@ def nearest_anchor(fragments: DataFrame, anchors: DataFrame, keys: list[str], at
 
 
 def project_fields(own_miles: Column, fragment_miles: Column, class_text: Column) -> list[Column]:
-    """miles, class_raw and kind of a project: a spot where the miles are missing or nothing."""
-    miles = F.coalesce(F.regexp_extract(own_miles, r"^([0-9.]+)$", 1).try_cast("double"), F.regexp_extract(fragment_miles, r"^([0-9.]+)$", 1).try_cast("double"))
-    return [miles.alias("miles"), F.nullif(F.regexp_extract(class_text, r"Class (IV|III|II|I)\b", 1), F.lit("")).alias("class_raw"), F.when(F.coalesce(miles, F.lit(0.0)) != 0, "segment").otherwise("spot").alias("kind")]
+    """miles, class_raw and kind of a project: its own miles' text, or where blank the fragment's; a spot has none or nothing."""
+    text = F.coalesce(F.nullif(own_miles, F.lit("")), F.nullif(fragment_miles, F.lit("")))
+    miles = F.when(text.rlike(r"^[0-9.]+$"), text.try_cast("double"))
+    return [miles.alias("miles"), F.upper(F.regexp_extract(F.coalesce(class_text, F.lit("")), r"(?i)Class\s+(IV|III|II|I)\b", 1)).alias("class_raw"), F.when(F.coalesce(miles, F.lit(0.0)) != 0, "segment").otherwise("spot").alias("kind")]
+
+
+PROJECT_TEXTS = ["treatment", "location", "cross_a", "cross_b"]
+
+
+def projects(lines: DataFrame, page: str = "page", y: str = "top") -> DataFrame:
+    """Projects of a list whose rows wrap: (page, y, corridor, treatment, location, cross_a, cross_b, miles, class_raw, kind, cost).
+
+    A line (a page and its position are unique) with a dollar amount is a project. A line with nothing but a corridor is a
+    piece of a label that is drawn beside several projects: pieces less than LABEL_GAP apart are one label. Every other
+    line is a fragment of the nearest project, the upper of two as near. Texts are joined from top to bottom; a project
+    without a corridor takes the label whose last line is nearest. Miles are the project's own or the first fragment's.
+    """
+    texts = ["corridor", *PROJECT_TEXTS, "miles", "cost"]
+    clean = lines.select(page, F.col(y).cast("double").alias("__y"), *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in texts])
+    lone = F.col("corridor") != ""
+    for c in texts[1:]:
+        lone = lone & (F.col(c) == "")
+    told = clean.withColumn("__k", F.when(F.col("cost").rlike(r"\$\s*[0-9,]+"), "project").when(lone, "label").otherwise("fragment"))
+    anchors = told.where("__k = 'project'").drop("__k")
+    fragments = nearest_anchor(told.where("__k = 'fragment'").select(page, "__y", *PROJECT_TEXTS, "miles"), anchors.select(page, "__y", F.lit(True).alias("__of")), [page], "__y", "__of")
+    pieces = fragments.where("__of").select(page, F.col("anchor_at").alias("__at"), "__y", *PROJECT_TEXTS, "miles")
+    own = anchors.select(page, F.col("__y").alias("__at"), "__y", *PROJECT_TEXTS, F.lit("").alias("miles"))
+
+    def joined(c: str) -> Column:
+        parts = F.array_sort(F.collect_list(F.when(F.col(c) != "", F.struct("__y", c))))
+        return F.array_join(F.transform(parts, lambda x: x[c]), " ").alias(c)
+
+    made = pieces.unionByName(own).groupBy(page, "__at").agg(*[joined(c) for c in PROJECT_TEXTS], F.min_by(F.when(F.col("miles") != "", F.col("miles")), F.when(F.col("miles") != "", F.col("__y"))).alias("__miles"))
+    labels = gap_groups(told.where("__k = 'label'").select(page, "__y", "corridor"), [page], "__y")
+    groups = labels.groupBy(page, "group").agg(F.max("__y").alias("__y"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__y", "corridor"))), lambda x: x["corridor"]), " ").alias("__label"))
+    labelled = nearest_anchor(anchors.select(page, "__y"), groups.select(page, "__y", "__label"), [page], "__y", "__label").select(page, F.col("__y").alias("__at"), "__label")
+    rows = anchors.select(page, F.col("__y").alias("__at"), "corridor", F.col("miles").alias("__own"), "cost").join(made, [page, "__at"]).join(labelled, [page, "__at"])
+    corridor = F.when(F.col("corridor") != "", F.col("corridor")).otherwise(F.coalesce("__label", F.lit(""))).alias("corridor")
+    return rows.select(page, F.col("__at").alias(y), corridor, *PROJECT_TEXTS, *project_fields(F.col("__own"), F.col("__miles"), F.col("treatment")), F.regexp_replace("cost", "[^0-9]", "").alias("cost"))
+
+
+_DAY = r"^\d{1,2}/\d{1,2}/\d{4}$"
+
+
+def dated_rows(rows: DataFrame, ends: str = "ends") -> DataFrame:
+    """Rows of a list whose last cell is a day and nothing else."""
+    return rows.where(F.trim(F.coalesce(F.col(ends), F.lit(""))).rlike(_DAY))
+
+
+def ruled_rows(cells: DataFrame, keys: list[str], columns: list[str], header: str = "street") -> DataFrame:
+    """Rows of ruled tables from cells (keys..., col, text): with at least as many cells as ``columns``, of which the first names
+    a street and no header, ``pci`` is a number of one to three digits, and ``cost`` has a dollar sign."""
+    n = len(columns)
+    rows = cells.groupBy(*keys).agg(F.count("*").alias("__n"), *[F.max(F.when(F.col("col") == k, F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " ")))).alias(c) for k, c in enumerate(columns)])
+    kept = (F.col("__n") >= n) & (F.col(columns[0]) != "") & ~F.lower(F.col(columns[0])).startswith(header) & F.col("pci").rlike("^[0-9]{1,3}$") & F.contains("cost", F.lit("$"))
+    return rows.where(kept).select(*keys, *columns)
+
+
+def mileage_rows(lines: DataFrame, text: str = "line") -> DataFrame:
+    """(facility, before, miles) of a printed table's lines: a facility with its class and two numbers, or the total and two."""
+    line = F.trim(F.col(text))
+    kind = F.regexp_extract(line, r"^(.+?\(Class\s+(?:IV|III|II|I)\))\s+[0-9.]+\s+[0-9.]+\*?\s*$", 1)
+    numbers = [F.regexp_extract(line, r"\s([0-9.]+)\s+([0-9.]+)\*?\s*$", k).try_cast("double") for k in (1, 2)]
+    name = F.when(kind != "", F.trim(F.regexp_replace(kind, r"\s+", " "))).when(line.rlike(r"^Total\s+[0-9.]+\s+[0-9.]+\s*$"), "Total")
+    return lines.select(name.alias("facility"), numbers[0].alias("before"), numbers[1].alias("miles")).where("facility is not null")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.geometry import _along, interpolate, length, nearest_share, segment_distance
 from ..functions.names import core_of, normalize
-from .coverage import cells
+from .coverage import cells_along
 from .staging import staged
 
 _POINT = "struct<x:double,y:double>"
@@ -30,7 +30,7 @@ def noded(lines: DataFrame) -> DataFrame:
     ends = lines.select(F.explode(F.array(F.get("pts", F.lit(0)), F.element_at("pts", -1))).alias("p")).select(F.col("p.x").alias("px"), F.col("p.y").alias("py")).distinct()
     size = 50.0
     parts = lines.select("line", "total", F.explode(_along(F.col("pts"))).alias("s")).select("line", "total", "s.*")
-    right = parts.withColumn("__c", F.explode(cells(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), size, K.NODE_M)))
+    right = parts.withColumn("__c", F.explode(cells_along(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), size, K.NODE_M)))
     left = ends.withColumn("__c", F.struct(F.floor(F.col("px") / size).alias("cx"), F.floor(F.col("py") / size).alias("cy")))
     args = [F.col(c) for c in ("px", "py", "ax", "ay", "bx", "by")]
     near = left.join(right, "__c").withColumn("gap", segment_distance(*args)).where(F.col("gap") <= K.NODE_M).withColumn("at", F.col("d") + F.col("w") * nearest_share(*args))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import layout
+from ..operators import gates, layout
 from ..sources.features import html_cells, pages_with, text_lines
 from ..sources.tables import table
 
@@ -63,22 +63,22 @@ coalesce(string_agg(text, ' ' order by x0, x1, text) filter (where c = 'high'),
 
 @query
 def noise_filter(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 40).alias("text"))
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
     return layout.without_noise(rows, ["role", "text"], "assistant A|user [B-D]")
 
 
-SQL["noise_filter"] = "select conv_id, turn, role, substr(text, 1, 40) as text from conversations where not regexp_matches(trim(regexp_replace(concat_ws(' ', role, substr(text, 1, 40)), ' +', ' ', 'g')), '^(?:assistant A|user [B-D])')"
+SQL["noise_filter"] = "select conv_id, turn, role, text from conversations where not regexp_matches(trim(regexp_replace(concat_ws(' ', role, text), ' +', ' ', 'g')), '^(?:assistant A|user [B-D])')"
 
 
 @query
 def continuation_rows(spark: SparkSession, d: str) -> DataFrame:
     """A user's turn starts a row, and the turns that answer it add their text."""
-    rows = table(spark, d, "conversations").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.substring(F.coalesce("text", F.lit("")), 1, 12).alias("text")).distinct()
+    rows = table(spark, d, "conversations").select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     found = layout.continued(rows, ["conv_id"], ["turn", "role", "text"], F.col("role") == "user", F.col("role") == "assistant", ["role"], ["text"])
     return found
 
 
-SQL["continuation_rows"] = """with r as (select distinct conv_id, turn, coalesce(role, '') as role, substr(coalesce(text, ''), 1, 12) as text from conversations),
+SQL["continuation_rows"] = """with r as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
 n as (select *, sum((role = 'user')::int) over (partition by conv_id order by turn, role, text) as "row" from r where role in ('user', 'assistant'))
 select conv_id, "row"::bigint as "row", max(role) filter (where role = 'user') as role, coalesce(string_agg(text, ' ' order by turn, role, text) filter (where text <> ''), '') as text from n where "row" > 0 group by 1, 2"""
 
@@ -109,7 +109,8 @@ def dated_lines(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose last cell is a day, against a recount of lines with two days."""
     text = F.concat_ws(" ", F.date_format("o_orderdate", "M/d/yyyy"), F.when(F.col("o_orderkey") % 4 != 0, F.date_format("o_orderdate", "M/d/yyyy")).otherwise("open"))
     rows = table(spark, d, "orders").select(F.split(text, " ")[1].alias("ends"), text.alias("line"))
-    return rows.agg(F.count_if(F.col("ends").rlike(r"^\d{1,2}/\d{1,2}/\d{4}$")).alias("kept"), F.count_if(F.size(F.regexp_extract_all("line", F.lit(r"\d{1,2}/\d{1,2}/\d{4}"), F.lit(0))) == 2).alias("recount"))
+    kept = layout.dated_rows(rows).agg(F.count("*").alias("kept"))
+    return kept.crossJoin(F.broadcast(gates.recount(rows, "line", r"\d{1,2}/\d{1,2}/\d{4}", 2)))  # one row each
 
 
 SQL["dated_lines"] = "select count(*) filter (where o_orderkey % 4 <> 0) as kept, count(*) filter (where o_orderkey % 4 <> 0) as recount from orders"
@@ -131,14 +132,68 @@ select page, top, event_id, anchor, anchor_at from j where k = 1"""
 
 @query
 def project_fields(spark: SparkSession, d: str) -> DataFrame:
-    own = F.when(F.col("p_size") % 3 == 0, F.round(F.col("p_size") / 10, 1).cast("string")).otherwise(F.lit("-"))
+    own = F.when(F.col("p_size") % 3 == 0, F.round(F.col("p_size") / 10, 1).cast("string")).otherwise(F.when(F.col("p_size") % 4 == 0, F.lit("")).otherwise(F.lit("-")))
     other = F.when(F.col("p_size") % 3 == 1, F.lit("0.0")).otherwise(F.lit("1.5"))
     cls = F.concat(F.lit("Class "), F.element_at(F.array(*map(F.lit, ("I", "II", "III", "IV", "V"))), (F.col("p_size") % 5 + 1).cast("int")), F.lit(" lane"))
     return table(spark, d, "part").select("p_partkey", *layout.project_fields(own, other, cls))
 
 
-SQL["project_fields"] = """with r as (select p_partkey, p_size, case p_size % 3 when 0 then round(p_size / 10, 1) when 1 then 0.0 else 1.5 end as miles from part)
-select p_partkey, miles, (['I', 'II', 'III', 'IV', null])[(p_size % 5 + 1)::int] as class_raw, case when miles <> 0 then 'segment' else 'spot' end as kind from r"""
+SQL["project_fields"] = """with r as (select p_partkey, p_size, case p_size % 3 when 0 then round(p_size / 10, 1) end as miles from part)
+select p_partkey, miles, (['I', 'II', 'III', 'IV', ''])[(p_size % 5 + 1)::int] as class_raw, case when miles <> 0 then 'segment' else 'spot' end as kind from r
+where p_size % 4 <> 0 union all select p_partkey, case p_size % 3 when 0 then round(p_size / 10, 1) when 1 then 0.0 else 1.5 end as miles, (['I', 'II', 'III', 'IV', ''])[(p_size % 5 + 1)::int],
+  case when p_size % 3 = 1 or (p_size % 3 = 0 and p_size = 0) then 'spot' else 'segment' end from part where p_size % 4 = 0"""
+
+
+def _plan_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Events as lines of a project list, one for each user and hour: purchases are projects, errors labels, others fragments."""
+    one = _minutes(spark, d).groupBy("page", "top").agg(F.min(F.struct("event_id", "event_type", "value")).alias("e")).select("page", "top", "e.*")
+    e, kind = F.col("event_id"), F.col("event_type")
+    text = lambda p, when: F.when(when, F.concat(F.lit(p), e.cast("string")))
+    other = ~kind.isin("purchase", "error")
+    return one.select(
+        "page", "top", text("C", (kind == "error") | ((kind == "purchase") & (e % 3 == 0))).alias("corridor"),
+        F.when(other & (e % 4 == 0), F.concat(F.lit("class  "), F.element_at(F.array(*map(F.lit, ("II", "IV", "iii", "V"))), (e % 4 + F.floor(e / 4) % 4 + 1).cast("int")), F.lit(" t"), e.cast("string"))).when(kind == "purchase", F.concat(F.lit("p"), e.cast("string"))).alias("treatment"),
+        text("L", other).alias("location"), text("a", other & (e % 5 == 0)).alias("cross_a"), F.lit(None).cast("string").alias("cross_b"),
+        F.when(other & (e % 6 == 0), F.concat(F.lit("1."), (e % 10).cast("string"))).when((kind == "purchase") & (e % 7 == 0), F.lit("0.0")).when((kind == "purchase") & (e % 11 == 0), F.lit("n/a")).alias("miles"),
+        F.when(kind == "purchase", F.concat(F.lit("$ "), F.format_number(F.floor(F.col("value") * 1000), 0))).alias("cost"),
+    )
+
+
+@query
+def plan_projects(spark: SparkSession, d: str) -> DataFrame:
+    """Projects of a wrapped list: fragments and labels of each page attached to the nearest cost."""
+    return layout.projects(_plan_lines(spark, d))
+
+
+SQL["plan_projects"] = f"""with {_WORDS}, o as (select page, top, arg_min({{'e': event_id, 'k': event_type, 'v': value}}, event_id) as x from w group by 1, 2),
+l as (select page, top, x.e as e, x.k as k, x.v as v, x.k not in ('purchase', 'error') as other from o),
+a as (select page, top, e, case when e % 3 = 0 then 'C' || e end as corridor, case when e % 7 = 0 then '0.0' when e % 11 = 0 then 'n/a' end as own, floor(v * 1000)::bigint::varchar as cost from l where k = 'purchase'),
+f as (select page, top, case when e % 4 = 0 then 'class  ' || (['II', 'IV', 'iii', 'V'])[(e // 4 % 4 + 1)::int] || ' t' || e end as treatment, 'L' || e as location, case when e % 5 = 0 then 'a' || e end as cross_a, case when e % 6 = 0 then '1.' || (e % 10) end as miles from l where other),
+n as (select f.*, a.top as near, row_number() over (partition by f.page, f.top order by abs(f.top - a.top), a.top) as r from f join a on f.page = a.page),
+p as (select page, near, top, treatment, location, cross_a, miles from n where r = 1 union all select page, top, top, 'p' || e, null, null, null from a),
+t as (select page, near, coalesce(string_agg(treatment, ' ' order by top), '') as treatment, coalesce(string_agg(location, ' ' order by top), '') as location, coalesce(string_agg(cross_a, ' ' order by top), '') as cross_a, arg_min(miles, top) filter (where miles is not null) as fm from p group by 1, 2),
+g0 as (select page, top, 'C' || e as c, case when top - lag(top) over (partition by page order by top) < 16 then 0 else 1 end as new from l where k = 'error'),
+g1 as (select *, sum(new) over (partition by page order by top) as g from g0), g as (select page, g, max(top) as last, string_agg(c, ' ' order by top) as label from g1 group by 1, 2),
+b as (select a.page, a.top, g.label, row_number() over (partition by a.page, a.top order by abs(g.last - a.top), g.last) as r from a join g on a.page = g.page),
+m as (select a.page, a.top, coalesce(a.corridor, b.label, '') as corridor, t.treatment, t.location, t.cross_a, coalesce(a.own, t.fm) as mt, a.cost from a join t on t.page = a.page and t.near = a.top left join b on b.page = a.page and b.top = a.top and b.r = 1),
+z as (select *, case when regexp_full_match(mt, '[0-9.]+') then mt::double end as mi from m)
+select page, top, corridor, treatment, location, cross_a, '' as cross_b, mi as miles, upper(regexp_extract(treatment, '(?i)class\\s+(IV|III|II|I)\\b', 1)) as class_raw, case when coalesce(mi, 0) <> 0 then 'segment' else 'spot' end as kind, cost from z"""
+
+
+@query
+def ruled_table(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of ruled tables from their cells: short rows, headers, and rows without a score or a cost are left out."""
+    k = F.col("o_orderkey")
+    street = F.when(k % 50 == 0, "Street Name").when(k % 51 == 0, "").otherwise(F.concat(F.lit("S "), F.col("o_custkey").cast("string")))
+    cost = F.concat(F.when(k % 17 == 0, "").otherwise(F.lit("$")), F.floor("o_totalprice").cast("string"))
+    texts = [street, F.lit("from"), F.lit("to  x"), F.col("o_orderstatus"), F.when(k % 13 == 0, "12a").otherwise((k % 1200).cast("string")), F.lit("slurry"), cost]
+    cells = table(spark, d, "orders").select("o_orderkey", F.posexplode(F.when(k % 19 == 0, F.array(*texts[:6])).otherwise(F.array(*texts))).alias("col", "text"))
+    return layout.ruled_rows(cells, ["o_orderkey"], ["street", "beg", "end", "fc", "pci", "treatment", "cost"])
+
+
+SQL["ruled_table"] = """with r as (select *, o_orderkey as k from orders)
+select o_orderkey, 'S ' || o_custkey as street, 'from' as beg, 'to x' as "end", o_orderstatus as fc, (k % 1200)::varchar as pci, 'slurry' as treatment, '$' || floor(o_totalprice)::bigint as cost
+from r where k % 50 <> 0 and k % 51 <> 0 and k % 13 <> 0 and k % 17 <> 0 and k % 19 <> 0 and k % 1200 < 1000"""
 
 
 @query
@@ -167,10 +222,11 @@ select doc_id, line::int as line, regexp_extract(t, '[Vv]ersion ([0-9](?:\\.[0-9
 
 @query
 def marked_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Words (turns) of the pages (conversations) whose text holds a marker."""
+    """Words of the pages (conversations) some line (turn) of which holds a marker."""
     turns = table(spark, d, "conversations").select(F.col("conv_id").alias("page"), "turn", "text")
-    whole = turns.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), " ").alias("page_text"))
-    return pages_with(turns, whole, "?").select("page", "turn")
+    words = turns.select("page", "turn", F.posexplode(F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")).alias("nth", "word"))
+    return pages_with(words, turns, "text", "the ")
 
 
-SQL["marked_pages"] = "select conv_id as page, turn from conversations where conv_id in (select conv_id from conversations where contains(text, '?'))"
+SQL["marked_pages"] = """with w as (select conv_id as page, turn, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '') as words from conversations where conv_id in (select conv_id from conversations where contains(text, 'the ')))
+select page, turn, unnest(range(len(words)))::int as nth, unnest(words) as word from w"""

@@ -78,9 +78,9 @@ SQL["merge_targets"] = f"""select class, running, target, round(running / target
 
 @query
 def unpivot_classes(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_partkey", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("existing"), F.when(F.col("l_linestatus") == "O", F.col("l_linestatus")).alias("proposed"))
-    return sequences.unpivoted(rows, ["l_orderkey", "l_partkey"], [("existing", "existing"), ("proposed", "proposed")], "status", "class")
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")).alias("existing"), F.when(F.col("l_linestatus") == "O", F.col("l_linestatus")).alias("proposed"))
+    return sequences.unpivoted(rows, ["l_orderkey", "l_partkey", "l_linenumber"], [("existing", "existing"), ("proposed", "proposed")], "status", "class")
 
 
-SQL["unpivot_classes"] = """select l_orderkey, l_partkey, 'existing' as status, l_returnflag as class from lineitem where l_linenumber = 1 and l_returnflag <> 'N'
-union all select l_orderkey, l_partkey, 'proposed', l_linestatus from lineitem where l_linenumber = 1 and l_linestatus = 'O'"""
+SQL["unpivot_classes"] = """select l_orderkey, l_partkey, l_linenumber, 'existing' as status, l_returnflag as class from lineitem where l_returnflag <> 'N'
+union all select l_orderkey, l_partkey, l_linenumber, 'proposed', l_linestatus from lineitem where l_linestatus = 'O'"""

@@ -63,9 +63,10 @@ def text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def pages_with(words: DataFrame, texts: DataFrame, marker: str) -> DataFrame:
-    """Words of the pages whose text holds the marker."""
-    return words.join(texts.where(F.contains(F.col("page_text"), F.lit(marker))).select("page"), "page", "left_semi")
+def pages_with(words: DataFrame, lines: DataFrame, text: str, marker: str, page: str = "page") -> DataFrame:
+    """Words of the pages some line of which holds the marker; a page is one flag, however long its text."""
+    marked = lines.groupBy(page).agg(F.max(F.contains(F.col(text), F.lit(marker))).alias("__m")).where("__m").select(page)
+    return words.join(marked, page, "left_semi")
 
 
 def fetched(ids: list[int], fetch: Callable[[list[int]], list[dict]], page: int = 500, retries: int = 3) -> Iterator[dict]:
