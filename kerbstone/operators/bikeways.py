@@ -120,3 +120,21 @@ def merged_miles(bikeways: DataFrame, order: list[str] | None = None, tolerance:
         out = step if out is None else out.unionByName(step)
     total = F.sum("adds").over(Window.partitionBy(*keys).orderBy("nth"))
     return out.withColumn("running", total)
+
+
+#: Classes whose miles a plan states under another class.
+PLAN_CLASS = {"IIIA": "III"}
+
+
+def merge_table(bikeways: DataFrame, targets: dict[str, float], order: list[str] | None = None) -> DataFrame:
+    """The merge per class and, as ``any``, of all classes: alone, adds, running, and all that was merged as a share of the plan.
+
+    ``targets`` are a plan's miles by class, and its ``Total``; where it states none the share is null.
+    """
+    each = merged_miles(bikeways, order, by="bikeway_class")
+    whole = merged_miles(bikeways, order).withColumn("bikeway_class", F.lit("any"))
+    rows = each.unionByName(whole)
+    kind = F.when(F.col("bikeway_class") == "any", "Total").otherwise(F.coalesce(lookup(PLAN_CLASS, F.col("bikeway_class")), F.col("bikeway_class")))
+    target = lookup({k: float(v) for k, v in targets.items()}, kind)
+    merged = F.sum("adds").over(Window.partitionBy("bikeway_class"))  # a row a source
+    return rows.select("nth", "bikeway_class", "source", "alone", "adds", "running", target.alias("target"), (merged / F.nullif(target, F.lit(0.0))).alias("share"))

@@ -168,6 +168,43 @@ class Street:
         return out
 
 
+def _by_street(edges: DataFrame) -> DataFrame:
+    """(name, u, v, w) with the nodes as text, as the grouped kernels take them."""
+    return edges.select("name", F.concat_ws(",", "u.i", "u.j").alias("u"), F.concat_ws(",", "v.i", "v.j").alias("v"), "w")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(name, node, component): the connected pieces of each street's own edges, named by their least node. One street is one task's work."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        up: dict[str, str] = {}
+
+        def root(n: str) -> str:
+            up.setdefault(n, n)
+            while up[n] != n:
+                up[n] = up[up[n]]
+                n = up[n]
+            return n
+
+        for u, v in zip(rows.u, rows.v, strict=True):
+            a, b = sorted((root(u), root(v)))
+            up[b] = a
+        return pd.DataFrame([(rows["name"].iloc[0], n, root(n)) for n in sorted(up)], columns=["name", "node", "component"])
+
+    return _by_street(edges).groupBy("name").applyInPandas(run, "name string, node string, component string")
+
+
+def distances(edges: DataFrame) -> DataFrame:
+    """(name, node, length): the way along each street's own edges from its least node to every node that it reaches."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        street = Street([(r.u, r.v, r.w, []) for r in rows.itertuples()])
+        best = street.reach(min(street.at))
+        return pd.DataFrame([(rows["name"].iloc[0], n, v[0]) for n, v in best.items()], columns=["name", "node", "length"])
+
+    return _by_street(edges).groupBy("name").applyInPandas(run, "name string, node string, length double")
+
+
 def size_of(points: list[tuple[float, float]]) -> float:
     return sum(math.dist(a, b) for a, b in zip(points, points[1:], strict=False))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import constants as K
 from ..functions import geometry as G
 from ..operators import coverage, match, network
 from ..sources.tables import table
@@ -46,49 +47,58 @@ select vec_id, unnest(range(64))::int as nth, unnest(flat) as step from s"""
 
 @query
 def decode_delta(spark: SparkSession, d: str) -> DataFrame:
-    """Decoding gives back the quantised points; the largest difference of each line."""
-    back = table(spark, d, "embeddings").select("vec_id", _line().alias("line"), G.dequantised(G.quantised(_line())).alias("back"))
-    off = F.array_max(F.zip_with("line", "back", lambda a, b: F.greatest(F.abs(a["x"] - b["x"]), F.abs(a["y"] - b["y"]))))
-    return back.select("vec_id", F.size("back").alias("points"), (off <= 0.5000001e-5).alias("close"))
+    """The points that decoding gives back: the quantised ones."""
+    back = table(spark, d, "embeddings").select("vec_id", F.posexplode(G.dequantised(G.quantised(_line()))).alias("nth", "p"))
+    return back.select("vec_id", "nth", F.round("p.x", 9).alias("x"), F.round("p.y", 9).alias("y"))
 
 
-SQL["decode_delta"] = "select vec_id, 32::int as points, true as close from embeddings"
+SQL["decode_delta"] = f"select vec_id, unnest(range(32))::int as nth, unnest([round(round_even({_X} * 100000, 0) / 100000, 9) for i in range(32)]) as x, unnest([round(round_even({_Y} * 100000, 0) / 100000, 9) for i in range(32)]) as y from embeddings"
 
 
 @query
 def interpolated(spark: SparkSession, d: str) -> DataFrame:
-    """The middle of a line of two pieces, and where its third point projects to it."""
-    line = F.slice(_line(), 1, 3)
-    rows = table(spark, d, "embeddings").select("vec_id", line.alias("l"))
-    middle, near = G.interpolate(F.col("l"), F.lit(0.5), normalised=True), G.project(F.slice("l", 1, 2), F.col("l")[2]["x"], F.col("l")[2]["y"])
-    return rows.select("vec_id", middle.alias("m"), near.alias("p")).select("vec_id", F.round("m.x", 9).alias("mx"), F.round("m.y", 9).alias("my"), F.round("p.gap", 9).alias("gap"), F.round("p.at", 9).alias("at"))
+    """The middle of every line, and where a point beside it projects to it."""
+    rows = table(spark, d, "embeddings").select("vec_id", _line().alias("l"))
+    middle, near = G.interpolate(F.col("l"), F.lit(0.5), normalised=True), G.project(F.col("l"), F.lit(0.05), F.lit(-0.02))
+    return rows.select("vec_id", middle.alias("m"), near.alias("p")).select("vec_id", F.round("m.x", 8).alias("mx"), F.round("m.y", 8).alias("my"), F.round("p.gap", 8).alias("gap"), F.round("p.at", 8).alias("at"))
 
 
-SQL["interpolated"] = """with p as (select vec_id, embedding[1]::double as ax, embedding[2]::double as ay, embedding[3]::double as bx, embedding[4]::double as by_, embedding[5]::double as cx, embedding[6]::double as cy from embeddings),
-w as (select *, sqrt((bx - ax) ** 2 + (by_ - ay) ** 2) as w1, sqrt((cx - bx) ** 2 + (cy - by_) ** 2) as w2, greatest(0, least(1, ((cx - ax) * (bx - ax) + (cy - ay) * (by_ - ay)) / ((bx - ax) ** 2 + (by_ - ay) ** 2))) as t from p),
-h as (select *, (w1 + w2) / 2 as half from w)
-select vec_id, round(case when half < w1 then ax + half / w1 * (bx - ax) else bx + (half - w1) / w2 * (cx - bx) end, 9) as mx, round(case when half < w1 then ay + half / w1 * (by_ - ay) else by_ + (half - w1) / w2 * (cy - by_) end, 9) as my,
-  round(sqrt((cx - ax - t * (bx - ax)) ** 2 + (cy - ay - t * (by_ - ay)) ** 2), 9) as gap, round(w1 * t, 9) as "at" from h"""
+SQL["interpolated"] = f"""with p as (select vec_id, unnest(range(32)) as i, unnest([{_X} for i in range(32)]) as x, unnest([{_Y} for i in range(32)]) as y from embeddings),
+s as (select vec_id, i, x as ax, y as ay, lead(x) over w as bx, lead(y) over w as by_ from p window w as (partition by vec_id order by i)),
+l as (select *, sqrt((bx - ax) ** 2 + (by_ - ay) ** 2) as len, greatest(0, least(1, ((0.05 - ax) * (bx - ax) + (-0.02 - ay) * (by_ - ay)) / ((bx - ax) ** 2 + (by_ - ay) ** 2))) as t from s where bx is not null),
+c as (select *, sum(len) over (partition by vec_id order by i) - len as before, sum(len) over (partition by vec_id) / 2 as half, sqrt((0.05 - ax - t * (bx - ax)) ** 2 + (-0.02 - ay - t * (by_ - ay)) ** 2) as gap from l),
+m as (select vec_id, arg_max(ax + (half - before) / len * (bx - ax), i) as mx, arg_max(ay + (half - before) / len * (by_ - ay), i) as my from c where before <= half group by vec_id),
+g as (select vec_id, min(gap) as gap, arg_min(before + t * len, (gap, i)) as at from c group by vec_id)
+select vec_id, round(mx, 8) as mx, round(my, 8) as my, round(gap, 8) as gap, round(g.at, 8) as "at" from m join g using (vec_id)""".replace(" as at from c", " as at_ from c").replace("g.at,", "at_,")
 
 
 @query
 def projected(spark: SparkSession, d: str) -> DataFrame:
-    """Degrees to metres and back again; the difference in degrees."""
+    """Degrees to metres to the millimetre, and whether they come back."""
     rows = table(spark, d, "embeddings").select("vec_id", (F.lit(-122.27) + F.col("embedding")[0].cast("double") / 10).alias("lon"), (F.lit(37.87) + F.col("embedding")[1].cast("double") / 10).alias("lat"))
     there = rows.select("*", G.to_utm(F.col("lon"), F.col("lat")).alias("m"))
     back = there.select("*", G.to_degrees(F.col("m.x"), F.col("m.y")).alias("g"))
-    return back.select("vec_id", ((F.abs(F.col("g.x") - F.col("lon")) < 1e-9) & (F.abs(F.col("g.y") - F.col("lat")) < 1e-9)).alias("same"), F.col("m.x").between(550000, 580000).alias("east"), F.col("m.y").between(4170000, 4210000).alias("north"))
+    return back.select("vec_id", F.round("m.x", 3).alias("x"), F.round("m.y", 3).alias("y"), F.round("g.x", 9).alias("lon"), F.round("g.y", 9).alias("lat"))
 
 
-SQL["projected"] = "select vec_id, true as same, true as east, true as north from embeddings"
+# the meridian distance and the series in powers of the difference of longitude (not the series of the operator)
+SQL["projected"] = """with c as (select 6378137.0 as a, 2 / 298.257222101 - (1 / 298.257222101) ** 2 as e2),
+r as (select vec_id, -122.27 + embedding[1]::double / 10 as lon, 37.87 + embedding[2]::double / 10 as lat, a, e2, e2 / (1 - e2) as ep from embeddings, c),
+q as (select *, radians(lat) as p, tan(radians(lat)) ** 2 as t, ep * cos(radians(lat)) ** 2 as c2, radians(lon + 123) * cos(radians(lat)) as w, a / sqrt(1 - e2 * sin(radians(lat)) ** 2) as nn from r),
+m as (select *, a * ((1 - e2 / 4 - 3 * e2 ** 2 / 64 - 5 * e2 ** 3 / 256 - 175 * e2 ** 4 / 16384) * p - (3 * e2 / 8 + 3 * e2 ** 2 / 32 + 45 * e2 ** 3 / 1024 + 105 * e2 ** 4 / 4096) * sin(2 * p) + (15 * e2 ** 2 / 256 + 45 * e2 ** 3 / 1024 + 525 * e2 ** 4 / 16384) * sin(4 * p) - (35 * e2 ** 3 / 3072 + 175 * e2 ** 4 / 12288) * sin(6 * p) + 315 * e2 ** 4 / 131072 * sin(8 * p)) as md from q)
+select vec_id, round(500000 + 0.9996 * nn * (w + (1 - t + c2) * w ** 3 / 6 + (5 - 18 * t + t ** 2 + 14 * c2 - 58 * t * c2 + 13 * c2 ** 2 - 64 * c2 ** 2 * t) * w ** 5 / 120 + (61 - 479 * t + 179 * t ** 2 - t ** 3) * w ** 7 / 5040), 3) as x,
+  round(0.9996 * (md + nn * sqrt(t) * (w ** 2 / 2 + (5 - t + 9 * c2 + 4 * c2 ** 2) * w ** 4 / 24 + (61 - 58 * t + t ** 2 + 270 * c2 - 330 * t * c2 + 445 * c2 ** 2 - 680 * t * c2 ** 2) * w ** 6 / 720 + (1385 - 3111 * t + 543 * t ** 2 - t ** 3) * w ** 8 / 40320)), 3) as y, round(lon, 9) as lon, round(lat, 9) as lat from m"""
 
 
 @query
 def wkt_lines(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "embeddings").select("vec_id", G.wkt(F.array(F.slice(_line(), 1, 2))).alias("wkt"))
+    """Lines of one part and of two, all points."""
+    one, two = F.array(_line()), F.array(F.slice(_line(), 1, 16), F.slice(_line(), 17, 16))
+    return table(spark, d, "embeddings").select("vec_id", F.when(F.col("vec_id") % 2 == 0, G.wkt(one)).otherwise(G.wkt(two)).alias("wkt"))
 
 
-SQL["wkt_lines"] = "select vec_id, format('LINESTRING ({:.6f} {:.6f}, {:.6f} {:.6f})', embedding[1]::double, embedding[2]::double, embedding[3]::double, embedding[4]::double) as wkt from embeddings"
+SQL["wkt_lines"] = f"""with t as (select vec_id, [format('{{:.6f}} {{:.6f}}', {_X}, {_Y}) for i in range(32)] as p from embeddings)
+select vec_id, case when vec_id % 2 = 0 then 'LINESTRING (' || array_to_string(p, ', ') || ')' else 'MULTILINESTRING ((' || array_to_string(p[1:16], ', ') || '), (' || array_to_string(p[17:32], ', ') || '))' end as wkt from t"""
 
 
 @query
@@ -96,11 +106,11 @@ def distance_join(spark: SparkSession, d: str) -> DataFrame:
     """Points of some vectors within 0.01 of segments of others."""
     e = table(spark, d, "embeddings")
     points = e.select(F.col("vec_id").alias("point"), F.col("embedding")[0].cast("double").alias("px"), F.col("embedding")[1].cast("double").alias("py"))
-    segments = e.where("vec_id % 5 = 0").select(F.col("vec_id").alias("segment"), *[F.col("embedding")[k].cast("double").alias(c) for k, c in enumerate(("ax", "ay", "bx", "by"), 2)])
+    segments = e.select(F.col("vec_id").alias("segment"), *[F.col("embedding")[k].cast("double").alias(c) for k, c in enumerate(("ax", "ay", "bx", "by"), 2)])
     return coverage.points_near_segments(points, segments, 0.01).select("point", "segment", F.round("distance", 9).alias("distance"))
 
 
-SQL["distance_join"] = """with p as (select vec_id as point, embedding[1]::double as px, embedding[2]::double as py from embeddings), s as (select vec_id as segment, embedding[3]::double as ax, embedding[4]::double as ay, embedding[5]::double as bx, embedding[6]::double as by_ from embeddings where vec_id % 5 = 0),
+SQL["distance_join"] = """with p as (select vec_id as point, embedding[1]::double as px, embedding[2]::double as py from embeddings), s as (select vec_id as segment, embedding[3]::double as ax, embedding[4]::double as ay, embedding[5]::double as bx, embedding[6]::double as by_ from embeddings),
 t as (select *, greatest(0, least(1, coalesce(((px - ax) * (bx - ax) + (py - ay) * (by_ - ay)) / nullif((bx - ax) ** 2 + (by_ - ay) ** 2, 0), 0))) as t from p, s), g as (select point, segment, sqrt((px - ax - t * (bx - ax)) ** 2 + (py - ay - t * (by_ - ay)) ** 2) as g from t)
 select point, segment, round(g, 9) as distance from g where g <= 0.01"""
 
@@ -231,48 +241,51 @@ SQL["gap_bridge"] = "select n_name || ' ST' as name, case when n_regionkey % 2 =
 
 @query
 def shortest_path(spark: SparkSession, d: str) -> DataFrame:
-    """Lengths of the paths along each row's own edges from its first node to every other."""
-    edges = network.edges_of(_grid(spark, d).withColumnRenamed("FULLNAME", "name")).where("name like 'ROW%'")
-    flat = edges.select("name", F.concat_ws(",", "u.i", "u.j").alias("u"), F.concat_ws(",", "v.i", "v.j").alias("v"), "w")
+    """Ways along one street that branches: the grid without every seventh row edge and sixth column edge, so that most ways are detours."""
+    edges = network.edges_of(_grid(spark, d).where("not (line < 100 and line % 7 = 3) and not (line >= 100 and line % 6 = 1)").withColumn("name", F.lit("GRID ST")).drop("FULLNAME"))
+    return network.distances(edges)
 
-    def run(rows):
-        import pandas as pd
 
-        street = network.Street([(r.u, r.v, r.w, [(0.0, 0.0), (r.w, 0.0)]) for r in rows.itertuples()])
-        best = street.reach(min(street.at, key=lambda n: (int(n.split(",")[0]), n)))
-        return pd.DataFrame([(rows["name"].iloc[0], n, v[0]) for n, v in best.items()], columns=["name", "node", "length"])
+SQL["shortest_path"] = """with recursive e as (select n_nationkey as a, n_nationkey + 1 as b from nation where n_nationkey % 5 < 4 and n_nationkey % 7 <> 3 union all select n_nationkey, n_nationkey + 5 from nation where n_nationkey < 20 and (n_nationkey + 100) % 6 <> 1),
+x as (select a, b from e union all select b, a from e),
+w as (select 0::bigint as n, 0 as length union select x.b, w.length + 100 from w join x on x.a = w.n where w.length < 2400)
+select 'GRID ST' as name, (n % 5 * 50)::bigint || ',' || (n // 5 * 50)::bigint as node, min(length)::double as length from w group by n"""
 
-    return flat.groupBy("name").applyInPandas(run, "name string, node string, length double")
+
+@query
+def components(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of every street before its gaps are bridged."""
+    return network.components(network.edges_of(fixture.streets(spark, d).withColumnRenamed("FULLNAME", "name")))
 
 
-SQL["shortest_path"] = "select 'ROW ' || (n_nationkey // 5) || ' ST' as name, (n_nationkey % 5 * 50)::bigint || ',' || (n_nationkey // 5 * 50)::bigint as node, (n_nationkey % 5 * 100)::double as length from nation"
+SQL["components"] = """with s as (select s_suppkey as s, unnest(range(9)) as i from supplier),
+n as (select 'B' || s || ' ST' as name, s, i * 100 as x, case when s % 5 in (1, 2) and i > 4 then 1 else 0 end as piece from s union all select 'B' || s || ' ST', s, 415, 1 from s where i = 0 and s % 5 = 2),
+k as (select name, piece, round_even(x / 2, 0)::bigint || ',' || (s * 500) as node from n),
+c as (select name, node, min(node) over (partition by name, piece) as component from k),
+x as (select 'C' || s || 'X' || case when s % 5 = 3 and i = 6 then 2 else i end || ' AVE' as name, (i * 50) || ',' || (s * 500) as a, (i * 50) || ',' || (s * 500 + 25) as b from s)
+select * from c union all select name, unnest([a, b]) as node, least(a, b) as component from x"""
 
 
-def _shown(rows: DataFrame) -> DataFrame:
-    return rows.select("row_id", "ok", "reason", "method", "length_err", "matched_ft", F.round(F.get("xs", F.lit(0)), 2).alias("x0"), F.round(F.element_at("xs", -1), 2).alias("x1"))
+def _shown(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select("row_id", "ok", "reason", "method", "length_err", "matched_ft", F.round(F.get("xs", F.lit(0)), 2).alias("x0"), F.round(F.element_at("xs", -1), 2).alias("x1"), *more)
 
 
 @query
 def linref_match(spark: SparkSession, d: str) -> DataFrame:
-    """Records placed on the fixture's network."""
-    return _shown(match.match_rows(fixture.records(spark, fixture.RECORDS), network.network(fixture.streets(spark))))
+    """A record for every customer, placed on the streets of all suppliers."""
+    return _shown(match.match_rows(fixture.records(spark, d), network.network(fixture.streets(spark, d))))
 
 
-SQL["linref_match"] = """select row_id::bigint as row_id, ok, reason, method, err::double as length_err, feet::bigint as matched_ft, x0::double as x0, x1::double as x1 from (values
-(1, true, 'ok', 'cross-streets', 0.0, 328, 0.0, 100.0), (3, false, 'length mismatch (64%)', 'cross-streets', 0.64, 328, null, null), (4, true, 'ok', 'trimmed', 0.0, 328, 0.0, 99.97),
-(5, false, 'street name not in centerlines', null, null, null, null, null), (6, false, 'end cross street not found on street', null, null, null, null, null),
-(7, true, 'ok', 'cross-streets', 0.0, 328, 0.0, 100.0), (8, true, 'ok', 'one-ended walk', 0.0, 328, 0.0, 99.97), (9, true, 'ok', 'trimmed', 0.0, 328, 200.03, 300.0),
-(10, true, 'ok', 'trimmed', 0.0, 328, 0.0, 99.97), (11, true, 'ok', 'cross-streets', 0.0, 656, 0.0, 200.0)) t(row_id, ok, reason, method, err, feet, x0, x1)"""
+SQL["linref_match"] = fixture.MATCH_SQL
 
 
 @query
 def linref_two_pass(spark: SparkSession, d: str) -> DataFrame:
-    """A record that can lie on either side is placed on the one that the first pass leaves free."""
-    return _shown(match.match_two_pass(fixture.records(spark, fixture.TWO_PASS), network.network(fixture.streets(spark))))
+    """The same, where records that could lie on either side are tried again beside what the first pass placed."""
+    return _shown(match.match_two_pass(fixture.records(spark, d), network.network(fixture.streets(spark, d))), "pass")
 
 
-SQL["linref_two_pass"] = """select row_id::bigint as row_id, ok, reason, method, err::double as length_err, feet::bigint as matched_ft, x0::double as x0, x1::double as x1 from (values
-(1, true, 'ok', 'cross-streets', 0.0, 328, 0.0, 100.0), (2, true, 'ok', 'one-ended walk', 0.0, 328, 100.0, 199.97)) t(row_id, ok, reason, method, err, feet, x0, x1)"""
+SQL["linref_two_pass"] = fixture.TWO_PASS_SQL
 
 
 @query
@@ -285,10 +298,19 @@ def simplify(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", F.explode(simplified(0.2)(xs, ys)).alias("point"))
 
 
+SQL["simplify"] = f"""with recursive p as materialized (select vec_id, unnest(range(32)) as i, unnest([{_X} for i in range(32)]) as x, unnest([{_Y} for i in range(32)]) as y from embeddings),
+r as (select vec_id, 0::bigint as lo, 31::bigint as hi from embeddings
+  union all select vec_id, case s when 0 then lo else k end, case s when 0 then k else hi end from (
+    select vec_id, lo, hi, arg_max(i, (gap, -i)) as k from (
+      select r.vec_id, r.lo, r.hi, p.i, sqrt((p.x - a.x - t.t * (b.x - a.x)) ** 2 + (p.y - a.y - t.t * (b.y - a.y)) ** 2) as gap
+      from r join p a on a.vec_id = r.vec_id and a.i = r.lo join p b on b.vec_id = r.vec_id and b.i = r.hi join p on p.vec_id = r.vec_id and p.i > r.lo and p.i < r.hi,
+        lateral (select greatest(0, least(1, ((p.x - a.x) * (b.x - a.x) + (p.y - a.y) * (b.y - a.y)) / ((b.x - a.x) ** 2 + (b.y - a.y) ** 2))) as t) t
+    ) group by vec_id, lo, hi having max(gap) > 0.2), (values (0), (1)) v(s))
+select distinct vec_id, unnest([lo, hi])::int as point from r"""
+
+
 def _bikes(spark: SparkSession, d: str) -> DataFrame:
     """Suppliers as bikeways of two cities and four sources."""
-    from ..functions import constants as K
-
     k = F.col("s_suppkey")
     y = (F.pmod(k, F.lit(10)) * 40 + F.floor(k / 10) % 3 * 8).cast("double")
     return table(spark, d, "supplier").select(
@@ -298,6 +320,11 @@ def _bikes(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+#: The suppliers' bikeways as horizontal lines from x = 0: their height, length, tier and rank of source.
+_BIKES = """bikes as (select s_suppkey as id, case when s_suppkey % 2 = 0 then 'Berkeley' else 'Oakland' end as city, (s_suppkey % 10 * 40 + s_suppkey // 10 % 3 * 8)::double as y, (60 + s_nationkey * 5)::double as len,
+  s_suppkey // 10 % 4 as m, s_nationkey % 3 as c from supplier)"""
+
+
 @query
 def greedy_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Bikeways that no section and no better one kept before them accounts for."""
@@ -308,10 +335,41 @@ def greedy_dedup(spark: SparkSession, d: str) -> DataFrame:
     return bikeways.off_street(bikes, bikeways.tagged(sections, bikes)).select("id", "city", "tier", "miles")
 
 
+SQL["greedy_dedup"] = f"""with recursive {_BIKES},
+open as (select *, row_number() over (partition by city order by c, [2, 3, 4, 5][m + 1], id) as n from bikes b where not exists (select 1 from bikes s where s.id % 7 = 0 and s.city = b.city and abs(s.y - b.y) <= 12 and least(b.len, s.len + sqrt(144 - (s.y - b.y) ** 2)) > 0.6 * b.len)),
+g as (select distinct city, 0::bigint as n, []::struct(y double, len double)[] as kept, null::bigint as id from open
+  union all select o.city, o.n, case when o.fits then list_append(o.kept, {{'y': o.y, 'len': o.len}}) else o.kept end, case when o.fits then o.id end
+  from (select p.*, g.kept, coalesce(list_max([case when abs(k.y - p.y) <= 15 then least(p.len, k.len + sqrt(225 - (k.y - p.y) ** 2)) end for k in g.kept]), 0) <= 0.6 * p.len as fits from g join open p on p.city = g.city and p.n = g.n + 1) o)
+select id, city, ['protected', 'painted', 'shared'][c + 1] as tier, round_even(len / 1609.344, 3) as miles from g join bikes using (id, city)"""
+
+
 @query
 def merged_miles(spark: SparkSession, d: str) -> DataFrame:
-    """Miles that each source adds beyond 15 of those trusted more."""
+    """Miles that each source adds beyond 15 of those trusted more, in each city."""
+    from ..operators import bikeways
+
+    found = bikeways.merged_miles(_bikes(spark, d), by="city")
+    return found.select("city", "source", F.round("alone", 6).alias("alone"), F.round("adds", 6).alias("adds"), F.round("running", 6).alias("running"))
+
+
+def _merged_sql(keys: str, using: str) -> str:
+    return f"""merged as (select {keys}, m, sum(len) / 1609.344 as alone, sum(len - coalesce((select max(least(b.len, o.len + sqrt(225 - (o.y - b.y) ** 2))) from bikes o where o.m < b.m and abs(o.y - b.y) <= 15{using}), 0)) / 1609.344 as adds from bikes b group by {keys}, m)"""
+
+
+_SOURCES = "[" + ", ".join(f"'{s}'" for s in K.MERGE_ORDER) + "]"
+SQL["merged_miles"] = f"with {_BIKES}, {_merged_sql('city', ' and o.city = b.city')} select city, {_SOURCES}[m + 1] as source, round(alone, 6) as alone, round(adds, 6) as adds, round(sum(adds) over (partition by city order by m), 6) as running from merged"
+
+
+@query
+def merge_table(spark: SparkSession, d: str) -> DataFrame:
+    """The merge by class and for any class, beside what a plan states for each class."""
     from ..operators import bikeways
 
-    found = bikeways.merged_miles(_bikes(spark, d).where("city = 'Berkeley'"))
-    return found.select("source", F.round("alone", 6).alias("alone"), F.round("adds", 6).alias("adds"), F.round("running", 6).alias("running"))
+    found = bikeways.merge_table(_bikes(spark, d), {"I": 2.0, "III": 1.5, "Total": 4.0})
+    return found.select("bikeway_class", "source", *[F.round(c, 6).alias(c) for c in ("alone", "adds", "running", "target", "share")])
+
+
+SQL["merge_table"] = f"""with {_BIKES}, {_merged_sql('c', ' and o.c = b.c')}, total as (select -1 as c, * exclude (c) from ({_merged_sql('0 as c', '').removeprefix('merged as (').removesuffix(')').replace('group by 0 as c, m', 'group by m')})),
+u as (select ['any', 'I', 'II', 'III'][c + 2] as bikeway_class, * exclude (c) from (select * from merged union all select * from total)),
+w as (select *, sum(adds) over (partition by bikeway_class order by m) as running, sum(adds) over (partition by bikeway_class) as merged, case bikeway_class when 'I' then 2.0 when 'III' then 1.5 when 'any' then 4.0 end::double as target from u)
+select bikeway_class, {_SOURCES}[m + 1] as source, round(alone, 6) as alone, round(adds, 6) as adds, round(running, 6) as running, target, round(merged / target, 6) as share from w"""
