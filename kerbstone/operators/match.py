@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -84,12 +85,23 @@ class _Placer:
             self.names.setdefault(r.v, set()).update(r.v_names)
             self.names[r.u].add(r.name_)
             self.names[r.v].add(r.name_)
+        self.by_name, self.by_core = defaultdict(set), defaultdict(set)
+        for n, here in self.names.items():
+            for h in here:
+                self.by_name[h].add(n)
+                self.by_core[_core(h)].add((h, n))
+        self.ends = self.street.terminals()
+        self.reached: dict[str, dict] = {}
+
+    def reach(self, source: str) -> dict:
+        """Ways from a node to all others, found once for all records that start there."""
+        if source not in self.reached:
+            self.reached[source] = self.street.reach(source)
+        return self.reached[source]
 
     def anchors(self, wants, terminal: bool, resolved: str) -> list[str]:
-        wants = set(wants)
-        cores = {_core(w) for w in wants}
-        named = sorted(n for n, here in self.names.items() if here & wants or any(_core(h) in cores and h != resolved for h in here)) if wants else []
-        return named or (self.street.terminals() if terminal else [])
+        named = {n for w in wants for n in self.by_name.get(w, ())} | {n for w in wants for h, n in self.by_core.get(_core(w), ()) if h != resolved}
+        return sorted(named) or (self.ends if terminal else [])
 
     def walks(self, source: str, target: float) -> list:
         """For every way out of the node: the line of the target's length, if some node fits it well enough."""
@@ -108,10 +120,10 @@ class _Placer:
         if ends["beg"] and set(ends["beg"]) == set(ends["end"]):
             side = "end" if r.end_soft else "beg" if r.beg_soft else None
             if side:
-                ends[side] = self.street.terminals()
+                ends[side] = self.ends
         soft, routes = r.beg_soft or r.end_soft, []
         for s in ends["beg"]:
-            best = self.street.reach(s) if ends["end"] else {}
+            best = self.reach(s) if ends["end"] else {}
             routes += [(best[t][0], s, t, best) for t in ends["end"] if t != s and t in best]
         if routes:
             return self._route(r, routes, target, soft)

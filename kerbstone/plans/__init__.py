@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import conditions, labels, layouts, lines, orders
+from . import conditions, labels, layouts, lines, orders, places
 
-_AREAS = (conditions, labels, layouts, lines, orders)
+_AREAS = (conditions, labels, layouts, lines, orders, places)
 
 
 def queries():

@@ -48,9 +48,15 @@ def esri_parts(paths: Column) -> Column:
 
 
 def osm_features(elements: DataFrame) -> DataFrame:
-    """(osm_id, tags, pts) of named ways of two points at least, from elements (id, tags, geometry of lon and lat)."""
+    """(osm_id, tags, pts) of ways of two points at least, from elements (id, tags, geometry of lon and lat), named or not."""
     kept = elements.where(F.size("geometry") >= 2)
-    return kept.select(F.col("id").alias("osm_id"), F.map_concat("tags", F.create_map(F.lit("osm_id"), F.col("id").cast("string"))).alias("tags"), F.transform("geometry", lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))).alias("pts"))
+    tags = F.map_concat(F.map_filter(F.coalesce("tags", F.create_map().cast("map<string,string>")), lambda k, _: k != "osm_id"), F.create_map(F.lit("osm_id"), F.col("id").cast("string")))
+    return kept.select(F.col("id").alias("osm_id"), tags.alias("tags"), F.transform("geometry", lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))).alias("pts"))
+
+
+def named_ways(elements: DataFrame) -> DataFrame:
+    """``osm_features`` of the ways that have a name: streets."""
+    return osm_features(elements.where(F.coalesce(F.col("tags")["name"], F.lit("")) != ""))
 
 
 def html_cells(html: Column, tag: str) -> Column:
