@@ -1,8 +1,8 @@
-"""Feature collections, tags, tables in pages and paged services."""
+"""Feature collections, tags and tables in pages."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,65 +75,6 @@ def pages_with(words: DataFrame, lines: DataFrame, text: str, marker: str, page:
     return words.join(marked, page, "left_semi")
 
 
-def fetched(ids: list[int], fetch: Callable[[list[int]], list[dict]], page: int = 500, retries: int = 3) -> Iterator[dict]:
-    """Features by sorted batches of ids; a batch that keeps failing is halved down to the ids that can't be had.
-
-    Those ids come back as ``{"id": n, "lost": True}``.
-    """
-
-    def take(batch: list[int]) -> Iterator[dict]:
-        for _ in range(retries):
-            try:
-                yield from fetch(batch)
-                return
-            except OSError:
-                continue
-        if len(batch) == 1:
-            yield {"id": batch[0], "lost": True}
-            return
-        half = len(batch) // 2
-        yield from take(batch[:half])
-        yield from take(batch[half:])
-
-    ids = sorted(ids)
-    for low in range(0, len(ids), page):
-        yield from take(ids[low : low + page])
-
-
-def register_feature_service(spark: SparkSession, fetch: Callable[[list[int]], list[dict]], name: str = "features") -> None:
-    """``spark.read.format(name).option("ids", "0-999")``: one partition a batch of ids, filled by ``fetch``."""
-    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-    class Batch(InputPartition):
-        def __init__(self, ids: list[int]):
-            self.ids = ids
-
-    class Reader(DataSourceReader):
-        def __init__(self, options):
-            low, high = map(int, options.get("ids", "0--1").split("-", 1))
-            self.ids, self.page = list(range(low, high + 1)), int(options.get("page", 500))
-
-        def partitions(self):
-            return [Batch(self.ids[k : k + self.page]) for k in range(0, len(self.ids), self.page)]
-
-        def read(self, partition):
-            for f in fetched(partition.ids, fetch):
-                yield (f["id"], f.get("name"), bool(f.get("lost")))
-
-    class Features(DataSource):
-        @classmethod
-        def name(cls):
-            return name
-
-        def schema(self):
-            return "id long, name string, lost boolean"
-
-        def reader(self, schema):
-            return Reader(self.options)
-
-    spark.dataSource.register(Features)
-
-
 def reuse(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The table at the path if it is there, else what ``make`` gives, written there."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

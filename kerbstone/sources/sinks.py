@@ -32,9 +32,23 @@ def feature_collection(rows: DataFrame, parts: str, order: list[str]) -> DataFra
     return whole.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}")).alias("value"))
 
 
+def report_rows(summary: DataFrame, key: str) -> DataFrame:
+    """One row with a summary as a JSON object by key, in order of keys; nulls are written."""
+    rest = [c for c in summary.columns if c != key]
+    entry = F.struct(F.col(key).cast("string").alias("key"), F.struct(*rest).alias("value"))
+    return summary.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry))), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def report(summary: DataFrame, key: str) -> dict:
-    """A summary of a few rows as a nested dict by key, for a JSON report."""
-    return {r[key]: {k: v for k, v in r.asDict(True).items() if k != key} for r in summary.limit(10_000).collect()}
+    """A summary as a nested dict by key, all of its rows."""
+    return {r[key]: {k: v for k, v in r.asDict(True).items() if k != key} for r in summary.toLocalIterator()}
+
+
+def write_report(summary: DataFrame, key: str, path: str, listed: DataFrame | None = None) -> None:
+    """The summary as one JSON object, and beside it the rows it does not sum up (unmatched ones), one JSON object a line."""
+    report_rows(summary, key).coalesce(1).write.mode("overwrite").text(f"{path}/summary")
+    if listed is not None:
+        listed.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/listed")
 
 
 def page(template: str, payload: dict) -> str:

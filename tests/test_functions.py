@@ -67,16 +67,6 @@ def test_interval_against_sampling(c, radius):
             assert (found[0] - 1e-9 <= t <= found[1] + 1e-9) == (gap <= radius)
 
 
-def test_lost_ids_are_isolated():
-    def fetch(ids):
-        if 7 in ids:
-            raise OSError
-        return [{"id": i} for i in ids]
-
-    got = list(features.fetched(range(12), fetch, page=5, retries=1))
-    assert [f["id"] for f in got] == list(range(12)) and [f["id"] for f in got if f.get("lost")] == [7]
-
-
 def test_geojson_and_csv(spark, tmp_path):
     (tmp_path / "a.geojson").write_text('{"type":"FeatureCollection","features":[{"geometry":{"type":"LineString","coordinates":[[1,2],[3,4]]},"properties":{"n":"a"}},{"geometry":null,"properties":{}},{"geometry":{"type":"MultiLineString","coordinates":[[[1,2],[3,4]],[[5,6],[7,8,9]]]},"properties":{"n":"b"}}]}')
     rows = features.read_geojson(spark, str(tmp_path / "a.geojson")).orderBy("ord").collect()
@@ -101,6 +91,10 @@ def test_sinks(spark, tmp_path):
     whole = json.loads(sinks.feature_collection(rows, "parts", ["n"]).first().value)
     assert [f["geometry"] for f in whole["features"]] == [{"type": "LineString", "coordinates": [[1, 2], [3, 4]]}, None] and whole["features"][1]["properties"] == {"n": 2, "s": None}
     sinks.write_csv(rows, ["s", "missing"], str(tmp_path / "c"))
+    summary = spark.createDataFrame([("b", 2, None), ("a", 1, 0.5)], "city string, rows int, rate double")
+    sinks.write_report(summary, "city", str(tmp_path / "r"), rows.select("n", "s"))
+    assert json.loads(spark.read.text(str(tmp_path / "r/summary")).first().value) == sinks.report(summary, "city") == {"a": {"rows": 1, "rate": 0.5}, "b": {"rows": 2, "rate": None}}
+    assert spark.read.json(str(tmp_path / "r/listed")).count() == 2
     assert spark.read.csv(str(tmp_path / "c"), header=True).columns == ["s", "missing"]
     assert sinks.page("<script>__PAYLOAD__</script>", {"a": "</script>"}) == '<script>{"a":"<\\/script>"}</script>'
 
