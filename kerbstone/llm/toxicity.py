@@ -51,11 +51,12 @@ class Ftrl:
 
 @dataclass
 class ToxicityModel:
-    """Sparse weights over the hash space, and the bias."""
+    """Sparse weights over the hash space, and the bias; whether there were any labelled texts."""
 
     index: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0, np.float32))
     bias: float = 0.0
+    fitted: bool = False
 
 
 def features(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -103,6 +104,8 @@ def _fit(batches: Iterator[pa.RecordBatch], how: Ftrl) -> Iterator[pa.RecordBatc
     for batch in batches:
         order, toxic = batch.column("ord").to_numpy(), batch.column("toxic").to_numpy()
         rows += [(int(o), int(y), np.frombuffer(i.as_buffer(), "<i4")) for o, y, i in zip(order, toxic, batch.column("features"), strict=True)]
+    if not rows:
+        return
     w, bias = ftrl(rows, how)
     kept = np.flatnonzero(w)
     yield pa.RecordBatch.from_pydict({"i": np.append(kept, -1), "w": np.append(w[kept], bias)})
@@ -156,7 +159,7 @@ def fit_toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame, how: F
     weights = bounded.repartition(1).mapInArrow(partial(_fit, how=how), "i long, w double").toPandas()
     table = weights[weights.i >= 0].sort_values("i")
     bias = weights[weights.i < 0].w
-    return ToxicityModel(table.i.to_numpy(np.int64), table.w.to_numpy(np.float32), float(bias.sum()))
+    return ToxicityModel(table.i.to_numpy(np.int64), table.w.to_numpy(np.float32), float(bias.sum()), len(weights) > 0)
 
 
 def dense(model: ToxicityModel) -> np.ndarray:
