@@ -3,6 +3,9 @@
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last return the columns
 of ``docs``; the last returns the pieces of the packed sequences. No stage drops clean rows: toxicity leaves out what the
 model rejects, line dedup shortens texts, near-dedup keeps one document a group, mixing samples to its targets.
+
+Every stage takes empty tables (and gives one), null ids, null and empty texts, ties, repeated rows, texts of any length,
+and more columns than the documents have, whatever their names: those pass as they are. What it makes of each is said below.
 """
 
 from __future__ import annotations
@@ -28,18 +31,30 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model (learned on these documents' labels) scores under a half."""
+    """Documents that the toxicity model (learned on these documents' labels) scores under a half.
+
+    Null and empty texts have the score of the bias; equal texts are kept or rejected together; rows without an id are
+    scored as the others. Without any labelled document nothing is known to be toxic, and all are kept.
+    """
     model = toxicity.fit_toxicity(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.reject_toxic(spark, docs, model, threshold=0.5)
+    return toxicity.reject_toxic(spark, docs, model, threshold=0.5) if model.fitted else docs
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that three or more of them hold, but for one copy; a null text becomes an empty one."""
+    """Documents without the lines that three or more of them hold, but for one copy; no document goes.
+
+    A null text becomes an empty one; rows that share an id keep or lose a line together; a null id is the least, so its
+    rows keep a shared line only where no other row has it.
+    """
     return _sized(linededup.dedup_lines(spark, docs, min_docs=3, min_chars=20))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row (the first of the least doc_id) of each group of near-duplicates, whether or not rows share or lack an id."""
+    """One row (the first of the least doc_id) of each group of near-duplicates, whether or not rows share or lack an id.
+
+    Texts without words (null, empty, white) are one group; repeated rows are of one; a row without an id stays where none
+    of its group has one.
+    """
     rows = minhash.numbered(spark, docs)
     kept = materialise(spark, minhash.near_duplicates(spark, rows).where("kept").select(minhash.ROW), "kept")
     few = kept.count() <= minhash.BROADCAST_IDS
@@ -47,12 +62,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample of the documents whose tokens meet the target shares of source, language and topic."""
+    """A sample of the documents whose tokens meet the target shares of source, language and topic.
+
+    Documents without words weigh nothing and stay; a null source or language is a value of its own; rows of one cell that
+    share or lack an id are drawn together.
+    """
     return mixing.mix(spark, docs, temper=TEMPER)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece.
+
+    A null or empty text is its end id alone; rows that share or lack an id are documents of their own, each with its pieces.
+    """
     pieces = packing.pack(spark, docs, word_bpe(), end=1, capacity=2048)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 

@@ -119,7 +119,8 @@ def merged_miles(bikeways: DataFrame, order: list[str] | None = None, tolerance:
         step = alone.groupBy(*keys).agg((F.sum("length") / K.M_PER_MILE).alias("alone"), (F.sum(F.col("length") - F.coalesce("covered", F.lit(0.0))) / K.M_PER_MILE).alias("adds")).select(F.lit(k).alias("nth"), F.lit(source).alias("source"), *keys, "alone", "adds")
         out = step if out is None else out.unionByName(step)
     total = F.sum("adds").over(Window.partitionBy(*keys).orderBy("nth"))
-    return out.withColumn("running", total)
+    # a source that has no lines is no step
+    return out.where("alone is not null").withColumn("running", total)
 
 
 #: Classes whose miles a plan states under another class.

@@ -52,7 +52,7 @@ def decode_delta(spark: SparkSession, d: str) -> DataFrame:
     return back.select("vec_id", "nth", F.round("p.x", 9).alias("x"), F.round("p.y", 9).alias("y"))
 
 
-SQL["decode_delta"] = f"select vec_id, unnest(range(32))::int as nth, unnest([round(round_even({_X} * 100000, 0) / 100000, 9) for i in range(32)]) as x, unnest([round(round_even({_Y} * 100000, 0) / 100000, 9) for i in range(32)]) as y from embeddings"
+SQL["decode_delta"] = f"select vec_id, unnest(range(32))::int as nth, unnest([round(round_even({_X} * 100000, 0) / 100000 + 0.0, 9) for i in range(32)]) as x, unnest([round(round_even({_Y} * 100000, 0) / 100000 + 0.0, 9) for i in range(32)]) as y from embeddings"
 
 
 @query
