@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.names import is_soft, is_terminal, label_alternatives, normalize
 from .joins import resolve_names
-from .network import Street, between, size_of
+from .network import Street, between, lot, size_of
 from .staging import staged
 
 _OUT = "row_id long, ok boolean, reason string, method string, length_err double, matched_ft long, xs array<double>, ys array<double>"
@@ -164,7 +164,7 @@ def _edges_for(edges: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def match_rows(rows: DataFrame, edges: DataFrame, occupied: DataFrame | None = None) -> DataFrame:
-    """A result for every row: placed or not, why, how, and the line. A group of streets is one task's work.
+    """A result for every row: placed or not, why, how, and the line. A group of streets is one task's work; small ones come many at a time.
 
     ``occupied`` (name, xs, ys) holds lines already placed on a row's street.
     """
@@ -180,15 +180,18 @@ def match_rows(rows: DataFrame, edges: DataFrame, occupied: DataFrame | None = N
     groups = names.select(F.col("grp").alias("group")).distinct().select("group", F.explode(F.split("group", r"\|")).alias("street"))
 
     def run(key, mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        placer, out = _Placer(theirs), []
-        for r in mine.sort_values("row_id").itertuples(index=False):
-            taken = None if r.taken is None else [list(zip(x["xs"], x["ys"], strict=True)) for x in r.taken]
-            points, reason, method, err, feet = placer.place(r, taken)
-            out.append((r.row_id, points is not None, reason, method, err, feet, [p[0] for p in points] if points else None, [p[1] for p in points] if points else None))
+        out, edges_of = [], dict(iter(theirs.groupby("group", sort=False)))
+        for grp, rows in mine.groupby("grp", sort=True):
+            placer = _Placer(edges_of[grp])
+            for r in rows.sort_values("row_id").itertuples(index=False):
+                taken = None if r.taken is None else [list(zip(x["xs"], x["ys"], strict=True)) for x in r.taken]
+                points, reason, method, err, feet = placer.place(r, taken)
+                out.append((r.row_id, points is not None, reason, method, err, feet, [p[0] for p in points] if points else None, [p[1] for p in points] if points else None))
         frame = pd.DataFrame(out, columns=["row_id", "ok", "reason", "method", "length_err", "matched_ft", "xs", "ys"])
         return frame.astype({"length_err": "float64", "matched_ft": "Int64"})
 
-    placed = known.groupBy("grp").cogroup(_edges_for(edges, groups).groupBy("group")).applyInPandas(run, _OUT)
+    spark = rows.sparkSession
+    placed = known.groupBy(lot(F.col("grp"), spark).alias("lot")).cogroup(_edges_for(edges, groups).groupBy(lot(F.col("group"), spark).alias("lot"))).applyInPandas(run, _OUT)
     lost = records.join(names, "row_id", "left_anti").select("row_id", F.lit(False).alias("ok"), F.lit("street name not in centerlines").alias("reason"), *[F.lit(None).cast(t).alias(c) for c, t in (("method", "string"), ("length_err", "double"), ("matched_ft", "long"), ("xs", "array<double>"), ("ys", "array<double>"))])
     return placed.unionByName(lost)
 

@@ -7,7 +7,7 @@ import math
 from collections import defaultdict
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -89,20 +89,32 @@ def bridges(nodes: list[tuple[float, float]], links: list[tuple[int, int]], most
     return out
 
 
+def lot(key: Column, spark: SparkSession) -> Column:
+    """The lot that a street is dealt to: some for each shuffle partition, so that a kernel gets many small streets at a time."""
+    return F.pmod(F.xxhash64(key), F.lit(8 * int(spark.conf.get("spark.sql.shuffle.partitions")))).cast("int")
+
+
 def bridged(edges: DataFrame, nodes: DataFrame, most: float = K.BRIDGE_M) -> DataFrame:
-    """``edges`` with straight edges over the gaps of streets that come in pieces; one street is one task's work."""
+    """``edges`` with straight edges over the gaps of streets that come in pieces; one street is one task's work.
+
+    A street of one edge has no gap. The others come to the kernel many at a time.
+    """
     at = nodes.select("node", "x", "y")
-    ends = edges.select("name", "u", "v").join(at.select(F.col("node").alias("u"), F.col("x").alias("ux"), F.col("y").alias("uy")), "u").join(at.select(F.col("node").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy")), "v")
+    several = edges.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    ends = edges.select("name", "u", "v").join(several, "name", "left_semi").join(at.select(F.col("node").alias("u"), F.col("x").alias("ux"), F.col("y").alias("uy")), "u").join(at.select(F.col("node").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy")), "v")
     flat = ends.select("name", F.col("u.i").alias("ui"), F.col("u.j").alias("uj"), F.col("v.i").alias("vi"), F.col("v.j").alias("vj"), "ux", "uy", "vx", "vy")
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        point = {(r.ui, r.uj): (r.ux, r.uy) for r in rows.itertuples()} | {(r.vi, r.vj): (r.vx, r.vy) for r in rows.itertuples()}
-        keys = sorted(point)
-        index = {k: n for n, k in enumerate(keys)}
-        made = bridges([point[k] for k in keys], [(index[r.ui, r.uj], index[r.vi, r.vj]) for r in rows.itertuples()], most)
-        return pd.DataFrame([(rows.name.iloc[0] if isinstance(rows.name, pd.Series) else rows["name"].iloc[0], *keys[p], *keys[q], d, *point[keys[p]], *point[keys[q]], n) for n, (d, p, q) in enumerate(made)], columns=["name", "ui", "uj", "vi", "vj", "w", "ux", "uy", "vx", "vy", "nth"])
-
-    made = flat.groupBy("name").applyInPandas(run, "name string, ui long, uj long, vi long, vj long, w double, ux double, uy double, vx double, vy double, nth int")
+    def run(many: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for name, rows in many.groupby("name", sort=False):
+            point = {(r.ui, r.uj): (r.ux, r.uy) for r in rows.itertuples()} | {(r.vi, r.vj): (r.vx, r.vy) for r in rows.itertuples()}
+            keys = sorted(point)
+            index = {k: n for n, k in enumerate(keys)}
+            made = bridges([point[k] for k in keys], [(index[r.ui, r.uj], index[r.vi, r.vj]) for r in rows.itertuples()], most)
+            out += [(name, *keys[p], *keys[q], d, *point[keys[p]], *point[keys[q]], n) for n, (d, p, q) in enumerate(made)]
+        return pd.DataFrame(out, columns=["name", "ui", "uj", "vi", "vj", "w", "ux", "uy", "vx", "vy", "nth"])
+
+    made = flat.groupBy(lot(F.col("name"), edges.sparkSession).alias("lot")).applyInPandas(run, "name string, ui long, uj long, vi long, vj long, w double, ux double, uy double, vx double, vy double, nth int")
     line = edges.schema["edge"].dataType["line"].dataType.simpleString()
     extra = made.select(
         "name", F.struct(F.col("ui").alias("i"), F.col("uj").alias("j")).alias("u"), F.struct(F.col("vi").alias("i"), F.col("vj").alias("j")).alias("v"), "w",
