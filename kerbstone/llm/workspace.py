@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows and bytes that an Arrow batch may hold on its way to a Python worker at most; texts may be long.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 64 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
