@@ -9,8 +9,9 @@ still open then, at most one a class and group, are laid end to end and cut at e
 workers leaves one open sequence.
 
 Defined results: a null or empty text is its end id alone; pieces of a document have no order among the sequences, but
-``start`` says where each belongs; rows that share a doc_id are documents of their own; very long texts are cut into as many
-pieces as needed; an empty table gives no rows.
+``start`` says where each belongs; rows that share a doc_id, or have none, are documents of their own; ties and repeated rows
+don't matter; very long texts are cut into as many pieces as needed; other columns are ignored, whatever their names; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +41,16 @@ _ODD_WHITE = re.compile("[\x1c-\x1f\x85]")
 #: Chunks of these characters are normalised by lower() alone and split as the tokenizer's own pattern does; the rest are left to it.
 _PLAIN = re.compile("[!-~\u00a1\u00ab\u00bb\u00bf\u00c0-\u012f\u0131-\u0148\u014a-\u017e\u2013\u2014\u2018-\u201d\u2026]*")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
-_KEPT_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# The steps of the tokenizers whose plain chunks go to the model directly, to the last parameter.
+_KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "post_processor": None,
+    "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+}
 _tokenizers: dict[str, Tokens] = {}
 
 
@@ -54,10 +64,10 @@ def _byte_letters() -> list[str]:
 class Tokens(dict):
     """Ids (little-endian unsigned 32-bit) of a text between white space, encoded once.
 
-    The tokenizer's own splitter never joins characters across white space and its normaliser works on each character run,
-    so the ids of a text are those of its chunks one after another. Where the tokenizer's steps are the known ones (NFC, lower
-    case, the pattern above, bytes as letters), a new chunk of plain characters goes to the model piece by piece,
-    which spares the steps; any other chunk, and any other tokenizer's, is encoded by the whole tokenizer.
+    Only for tokenizers whose steps are the known ones to the last parameter (NFC, lower case, a pattern, bytes as letters):
+    their splitter never joins characters across white space and their normaliser works on each character run, so the ids of
+    a text are those of its chunks one after another, and a new chunk of plain characters goes to the model piece by piece,
+    which spares the steps. Other chunks go through the whole tokenizer, and so do other tokenizers' whole texts.
     """
 
     def __init__(self, path: str):
@@ -66,9 +76,9 @@ class Tokens(dict):
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True
         made = json.loads(self.encoder.to_str())
-        steps = [x["type"] for x in (made["normalizer"] or {}).get("normalizers", [])], [x["type"] for x in (made["pre_tokenizer"] or {}).get("pretokenizers", [])]
-        pattern = ((made["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
-        self.known = steps == (["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]) and pattern == _KEPT_PATTERN and not made["post_processor"]
+        model = {k: v for k, v in made["model"].items() if k in _KNOWN["model"]}
+        steps = {"normalizer": made["normalizer"], "pre_tokenizer": made["pre_tokenizer"], "post_processor": made["post_processor"], "model": model}
+        self.known = steps == _KNOWN and all(t["special"] for t in made["added_tokens"])
         self.letters = _byte_letters()
 
     def ids(self, text: str) -> bytes:
@@ -81,7 +91,7 @@ class Tokens(dict):
         return struct.pack(f"<{len(found)}I", *found)
 
     def __missing__(self, chunk: str) -> bytes:
-        if not self.known or not _PLAIN.fullmatch(chunk):
+        if not _PLAIN.fullmatch(chunk):
             out = self.ids(chunk)
         elif (low := chunk.lower()) != chunk:
             out = self[low]
@@ -94,7 +104,7 @@ class Tokens(dict):
 
     def encode(self, text: str) -> bytes:
         # these few characters are white space to Python's split and not to the tokenizer's
-        if _ODD_WHITE.search(text):
+        if not self.known or _ODD_WHITE.search(text):
             return self.ids(text)
         return b"".join(map(self.__getitem__, text.split()))
 

@@ -212,6 +212,32 @@ def test_packing_round_trip(docs, spark):
     assert sum(1 for p in seqs.values() if sum(n for _, n in p) < 2000) <= 1
 
 
+def test_plain_chunks_have_the_tokenizers_ids():
+    """Every character that is taken as plain, alone, in pairs and in random joins with others, against the whole tokenizer."""
+    known = packing.Tokens(queries.word_bpe())
+    assert known.known
+    plain = [chr(c) for c in range(0x3000) if packing._PLAIN.fullmatch(chr(c))]
+    assert len(plain) > 250
+    rng = np.random.default_rng(21)
+    odd = ["\u0130", "\u0149", "\u00aa", "\u00ad", "\u0301", "\u00a0", "\x1c", "\x85", "\u4e2d", "\U0001f600", " ", "\n", "\t", "\r", "'s", "'LL", "_", "<|endoftext|>", "1", "9"]
+    texts = [*plain, *("".join(rng.choice(plain, 2)) for _ in range(20_000)), *("".join(rng.choice(plain, int(n))) for n in rng.integers(3, 60, 6000))]
+    texts += ["".join(rng.choice([*plain[:94], *odd], int(n))) for n in rng.integers(1, 60, 6000)]
+    texts += [" ".join("".join(rng.choice(list("etaoinshrdlu'"), int(n))) for n in rng.integers(1, 9, 30)).upper() for _ in range(500)]
+    for text in texts:
+        assert known.encode(text) == known.ids(text), repr(text)
+
+
+def test_other_tokenizers_are_not_known(tmp_path):
+    import json
+
+    made = json.loads(open(queries.word_bpe()).read())
+    made["normalizer"]["normalizers"][1]["content"] = "_"
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps(made))
+    other = packing.Tokens(str(path))
+    assert not other.known and other.encode("Plain text") == other.ids("Plain text")
+
+
 @pytest.mark.parametrize("length", [1, 2, 682, 683, 1023, 1024, 1025, 2047, 2048, 2049, 9999])
 def test_cuts(length):
     pieces = packing.cuts(length)
