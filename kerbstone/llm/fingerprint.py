@@ -118,21 +118,23 @@ def fingerprints(spark: SparkSession, docs: DataFrame) -> DataFrame:
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.expr("left(text, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.expr("left(start, cast(floor(char_length(text) / 2) as int))"))
-    both = rows.join(sent, "id").select("id", n.cast("long").alias("n_chars"), F.sha2("text", 256).alias("sha"), "text", F.when(half > 0, edited).otherwise(F.col("text")).alias("edited"))
+    # the digests travel as 32 bytes; that of the text itself only tells rows of one id apart
+    own_sha = F.unhex(F.sha2("text", 256)) if repeats else F.lit(None).cast("binary")
+    both = rows.join(sent, "id").select("id", n.cast("long").alias("n_chars"), own_sha.alias("sha"), "text", F.when(half > 0, edited).otherwise(F.col("text")).alias("edited"))
     # a row's units stay in the task that reads it, so a number made there tells it apart even if the task runs again
     kinds = F.array(F.struct(F.lit(False).alias("changed"), F.col("text").alias("text")), F.struct(F.lit(True).alias("changed"), F.col("edited").alias("text")))
-    keys = ["id", "n_chars", "sha", "edited_sha256", "row", "changed"]
-    told = both.select("id", "n_chars", "sha", F.sha2("edited", 256).alias("edited_sha256"), F.monotonically_increasing_id().alias("row"), "text", "edited")
+    keys = ["id", "n_chars", *(["sha"] if repeats else []), "edited_sha", "row", "changed"]
+    told = both.select("id", "n_chars", "sha", F.unhex(F.sha2("edited", 256)).alias("edited_sha"), F.monotonically_increasing_id().alias("row"), "text", "edited")
     texts = told.select(*keys[:-1], F.explode(kinds).alias("x")).select(*keys[:-1], F.col("x.changed").alias("changed"), F.col("x.text").alias("text"))
     made = materialise(spark, with_lanes(texts, keys, "text"), "lanes", "zstd")
     own = made.groupBy(*keys[:-1]).agg(F.max_by("lanes", ~F.col("changed")).alias("own"), F.max_by("lanes", "changed").alias("edited"))
-    following = made.where("not changed").select("id", "sha", F.col("lanes").alias("next_lanes"))
+    following = made.where("not changed").withColumnRenamed("lanes", "next_lanes")
     if repeats:
-        first = least.select("id", F.sha2("text", 256).alias("sha"))
+        first = least.select("id", F.unhex(F.sha2("text", 256)).alias("sha"))
         following = following.join(first, ["id", "sha"]).groupBy("id").agg(F.first("next_lanes").alias("next_lanes"))
     following = following.select("id", "next_lanes").join(after.select(F.col("next_id").alias("id"), F.col("id").alias("for")), "id").select(F.col("for").alias("id"), "next_lanes")
     return own.join(following, "id").select(
-        F.when(F.col("id") != _NO_ID, F.col("id")).cast(kind).alias("doc_id"), "n_chars", "edited_sha256", rendered(F.col("own")).alias("fingerprint"), rendered(F.col("edited")).alias("edited_fingerprint"),
+        F.when(F.col("id") != _NO_ID, F.col("id")).cast(kind).alias("doc_id"), "n_chars", F.lower(F.hex("edited_sha")).alias("edited_sha256"), rendered(F.col("own")).alias("fingerprint"), rendered(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("edited")).alias("near_edited"), likeness(F.col("own"), F.col("next_lanes")).alias("near_next"),
     )
 
