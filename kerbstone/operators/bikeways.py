@@ -9,7 +9,7 @@ from ..functions import constants as K
 from ..functions.geometry import length, segments
 from ..functions.names import lookup
 from ..functions.scalars import active, blank_to_null, coded, epoch_date, oakland_class, osm_class, title
-from .coverage import cells, covered, covered_more_than, greedy_kept, with_near_interval
+from .coverage import cells_along, covered, covered_more_than, greedy_kept, with_near_interval
 from .sequences import priority_tag
 from .staging import staged
 
@@ -72,9 +72,9 @@ def off_street(bikeways: DataFrame, sections: DataFrame) -> DataFrame:
     streets = line_segments(sections.where(F.col("bike_tier").isNotNull()), ["city"]).withColumnRenamed("city", "of")
     drawn = covered(lines, streets, K.ON_ROUTE_M, ["of"]).join(bikes.select("id", "length", "city"), "id").where((F.col("of") == F.col("city")) & (F.col("covered") > K.DEDUP_FRAC * F.col("length"))).select("id")
     open_ = staged(bikes.join(drawn, "id", "left_anti"))
-    mine = line_segments(open_, ["id", "city"]).withColumn("__c", F.explode(cells(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), 100.0)))
+    mine = line_segments(open_, ["id", "city"]).withColumn("__c", F.explode(cells_along(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), 100.0)))
     other = line_segments(open_, ["id", "city"]).select(F.col("id").alias("other"), "city", F.col("ax").alias("cx"), F.col("ay").alias("cy"), F.col("bx").alias("dx"), F.col("by").alias("dy"))
-    other = other.withColumn("__c", F.explode(cells(F.col("cx"), F.col("cy"), F.col("dx"), F.col("dy"), 100.0, K.DEDUP_M)))
+    other = other.withColumn("__c", F.explode(cells_along(F.col("cx"), F.col("cy"), F.col("dx"), F.col("dy"), 100.0, K.DEDUP_M)))
     met = mine.join(other, ["city", "__c"]).where("id <> other").drop("__c").distinct()
     pairs = with_near_interval(met, K.DEDUP_M).where("t0 is not null").select("city", "id", "other", "seg", "t0", "t1", F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")).alias("len"))
     kept = greedy_kept(open_.select("city", "id", "rank", "nth", "length"), "city", ["rank", "nth", "id"], pairs, K.DEDUP_FRAC)

@@ -2,7 +2,7 @@
 
 The points of a segment within r of another segment make one interval, for the set of all points within r of a segment (a
 rectangle and two discs) is convex. So coverage is a union of intervals per segment, and only segments that share a grid cell
-are compared: an equi-join on the cell, never a product.
+are compared: an equi-join on the cell, never a product. A union takes the same interval twice without harm.
 """
 
 from __future__ import annotations
@@ -14,13 +14,6 @@ from pyspark.sql import functions as F
 from ..functions.geometry import in_polygon, segment_distance
 
 
-def cells(ax: Column, ay: Column, bx: Column, by: Column, size: float, reach: float = 0.0) -> Column:
-    """array<struct<cx, cy>> of the grid cells that the segment's box, widened by ``reach``, touches."""
-    x0, x1 = F.floor((F.least(ax, bx) - reach) / size), F.floor((F.greatest(ax, bx) + reach) / size)
-    y0, y1 = F.floor((F.least(ay, by) - reach) / size), F.floor((F.greatest(ay, by) + reach) / size)
-    return F.flatten(F.transform(F.sequence(x0, x1), lambda x: F.transform(F.sequence(y0, y1), lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
-
-
 def cells_along(ax: Column, ay: Column, bx: Column, by: Column, size: float, reach: float = 0.0) -> Column:
     """array<struct<cx, cy>> of the cells in which a point can lie that is within ``reach`` of the segment.
 
@@ -81,13 +74,11 @@ def covered(lines: DataFrame, cover: DataFrame, radius: float, by: list[str] | N
     """
     by = by or []
     size = size or max(4 * radius, 50.0)
-    left = lines.withColumn("__c", F.explode(cells(*[F.col(c) for c in ("ax", "ay", "bx", "by")], size)))
+    # cells along the segments, not those of their boxes; two that share several cells meet in each, which adds nothing below
+    left = lines.withColumn("__c", F.explode(cells_along(*[F.col(c) for c in ("ax", "ay", "bx", "by")], size)))
     right = cover.select(*by, F.col("ax").alias("cx"), F.col("ay").alias("cy"), F.col("bx").alias("dx"), F.col("by").alias("dy")).distinct()
-    right = right.withColumn("__d", F.explode(cells(*[F.col(c) for c in ("cx", "cy", "dx", "dy")], size, radius)))
-    # segments that share several cells meet in the first one
-    fx = F.greatest(F.floor(F.least("ax", "bx") / size), F.floor((F.least("cx", "dx") - radius) / size))
-    fy = F.greatest(F.floor(F.least("ay", "by") / size), F.floor((F.least("cy", "dy") - radius) / size))
-    met = left.join(right, (F.col("__c") == F.col("__d")) & (F.col("__c.cx") == fx) & (F.col("__c.cy") == fy)).drop("__c", "__d")
+    right = right.withColumn("__d", F.explode(cells_along(*[F.col(c) for c in ("cx", "cy", "dx", "dy")], size, radius)))
+    met = left.join(right, F.col("__c") == F.col("__d")).drop("__c", "__d")
     spans = with_near_interval(met, radius).select("id", "seg", *by, F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")).alias("len"), "t0", "t1")
     before = Window.partitionBy("id", "seg", *by).orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("__p", F.max("t1").over(before))
