@@ -726,3 +726,68 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
         if name != "packing":
             assert docs.columns == columns and docs.select("doc_id").exceptAll(before.select("doc_id")).count() == 0
     assert docs.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    """Planted toxic documents, copies and shared lines: every stage against a plain version of it, on what the stage before left."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(23)
+    shared = [f"This passage number {k} is printed at the foot of many pages of the site" for k in range(5)]
+    rows = []
+    for i in range(900):
+        words = [f"v{k}" for k in rng.integers(0, 800, int(rng.integers(30, 90)))]
+        toxic = i % 6 == 0
+        if toxic:
+            words[3:3] = ["vileword", "nastyword", "vileword"]
+        text = " ".join(words)
+        if i % 4 == 1:
+            text += "\n" + shared[i % 5]
+        rows.append((i, text, int(toxic)))
+    rows += [(900 + k, rows[7 * k + 1][1] if k % 2 else rows[7 * k + 1][1].replace("v1", "x1", 1), rows[7 * k + 1][2]) for k in range(60)]
+    docs = spark.createDataFrame([(i, t, "en" if i % 3 else "de", f"s{i % 2}", len(t)) for i, t, _ in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    stages, left = dict(corpus_pipeline.STAGES), {}
+    for name, stage in stages.items():
+        stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        left[name] = docs.collect()
+    truth = {i: y for i, _, y in rows}
+    kept = {r.doc_id for r in left["toxicity"]}
+    assert sum(truth[i] for i in kept) <= 2 and len(kept) >= 0.995 * sum(1 - y for y in truth.values())
+    before = [(r.doc_id, r.text) for r in left["toxicity"]]
+    assert sorted((r.doc_id, r.text) for r in left["line dedup"]) == sorted((i, t) for i, t, _ in plain_lines(before)) and all(r.n_chars == len(r.text) for r in left["line dedup"])
+    before = [(r.doc_id, r.text) for r in left["line dedup"]]
+    assert {r.doc_id for r in left["near-dedup"]} == set(classes(before).values()) < {i for i, _ in before}
+    # the draws are of hashes, with probabilities of a plain raking of the same cells
+    cells, tokens = defaultdict(int), {r.doc_id: len(r.text.split()) for r in left["near-dedup"]}
+    cell = {r.doc_id: (r.source, r.lang, "short" if tokens[r.doc_id] < 100 else "article") for r in left["near-dedup"]}
+    for i, c in cell.items():
+        cells[c] += tokens[i]
+    margins = []
+    for m, name in enumerate(mixing.MARGINS):
+        sums = Counter()
+        for c, t in cells.items():
+            sums[c[m]] += t
+        powered = {v: t ** corpus_pipeline.TEMPER[name] for v, t in sums.items()}
+        margins.append({v: p / sum(powered.values()) for v, p in powered.items()})
+    w = {c: float(t) for c, t in cells.items()}
+    for _ in range(200):
+        for m in range(3):
+            sums = Counter()
+            for c, x in w.items():
+                sums[c[m]] += x
+            w = {c: x * margins[m][c[m]] / sums[c[m]] for c, x in w.items()}
+    most = max(w[c] / cells[c] for c in cells)
+    want = {i for i, c in cell.items() if int(hashlib.md5(f"7:{i}".encode()).hexdigest()[:13], 16) / 2**52 < w[c] / cells[c] / most}
+    assert {r.doc_id for r in left["mixing"]} == want and 0 < len(want) < len(cell)
+    pieces = defaultdict(list)
+    for r in left["packing"]:
+        pieces[r.doc_id].append((r.start, r.length, r.doc_tokens))
+    assert set(pieces) == want
+    for found in pieces.values():
+        at = 0
+        for start, length, total in sorted(found):
+            assert start == at
+            at += length
+        assert at == total
