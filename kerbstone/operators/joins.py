@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from ..functions.names import core_of
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """A side of a join of two that both grow: it is sorted and never broadcast.
+
+    Spark takes what comes of an explode or an aggregate to be as small as the columns of the file below it, and would collect
+    it at the driver.
+    """
+    return side.hint("merge")
+
+
 def first_wins(rows: DataFrame, keys: list[str], order: list[str], keep: list[str] | None = None) -> DataFrame:
     """The first row of each key. A minimum of structs, so it is pre-aggregated before the shuffle."""
     rest = [c for c in (keep or rows.columns) if c not in keys]

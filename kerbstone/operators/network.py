@@ -14,6 +14,7 @@ from ..functions import constants as K
 from ..functions.geometry import _along, interpolate, length, nearest_share, segment_distance
 from ..functions.names import core_of, normalize
 from .coverage import cells_along
+from .joins import shuffled
 from .staging import staged
 
 _POINT = "struct<x:double,y:double>"
@@ -33,10 +34,10 @@ def noded(lines: DataFrame) -> DataFrame:
     right = parts.withColumn("__c", F.explode(cells_along(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"), size, K.NODE_M)))
     left = ends.withColumn("__c", F.struct(F.floor(F.col("px") / size).alias("cx"), F.floor(F.col("py") / size).alias("cy")))
     args = [F.col(c) for c in ("px", "py", "ax", "ay", "bx", "by")]
-    near = left.join(right, "__c").withColumn("gap", segment_distance(*args)).where(F.col("gap") <= K.NODE_M).withColumn("at", F.col("d") + F.col("w") * nearest_share(*args))
+    near = left.join(shuffled(right), "__c").withColumn("gap", segment_distance(*args)).where(F.col("gap") <= K.NODE_M).withColumn("at", F.col("d") + F.col("w") * nearest_share(*args))
     best = near.groupBy("line", "total", "px", "py").agg(F.min(F.struct("gap", "at")).alias("b"))
     cut = best.where((F.col("b.at") > K.NODE_M) & (F.col("b.at") < F.col("total") - K.NODE_M)).groupBy("line").agg(F.array_sort(F.collect_set(F.bround("b.at", 2))).alias("cuts"))
-    both = lines.join(cut, "line", "left").withColumn("bounds", F.concat(F.array(F.lit(0.0)), F.coalesce("cuts", F.array().cast("array<double>")), F.array("total")))
+    both = lines.join(shuffled(cut), "line", "left").withColumn("bounds", F.concat(F.array(F.lit(0.0)), F.coalesce("cuts", F.array().cast("array<double>")), F.array("total")))
     spans = both.select("line", "name", "pts", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("bounds") - 2), lambda i: F.struct(F.col("bounds")[i].alias("a"), F.col("bounds")[i + 1].alias("b")))).alias("piece", "s"))
     inner = F.transform(F.filter(_along(F.col("pts")), lambda s: (s["d"] > F.col("s.a")) & (s["d"] < F.col("s.b"))), lambda s: F.struct(s["ax"].alias("x"), s["ay"].alias("y")))
     points = F.concat(F.array(interpolate(F.col("pts"), F.col("s.a"))), inner, F.array(interpolate(F.col("pts"), F.col("s.b"))))
@@ -186,24 +187,24 @@ def _by_street(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(name, node, component): the connected pieces of each street's own edges, named by their least node. One street is one task's work."""
+    """(name, node, component): the connected pieces of each street's own edges, named by their least node. A street is in one task; streets come many at a time."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        up: dict[str, str] = {}
+        up: dict[tuple[str, str], tuple[str, str]] = {}
 
-        def root(n: str) -> str:
+        def root(n: tuple[str, str]) -> tuple[str, str]:
             up.setdefault(n, n)
             while up[n] != n:
                 up[n] = up[up[n]]
                 n = up[n]
             return n
 
-        for u, v in zip(rows.u, rows.v, strict=True):
-            a, b = sorted((root(u), root(v)))
+        for name, u, v in zip(rows["name"], rows.u, rows.v, strict=True):
+            a, b = sorted((root((name, u)), root((name, v))))
             up[b] = a
-        return pd.DataFrame([(rows["name"].iloc[0], n, root(n)) for n in sorted(up)], columns=["name", "node", "component"])
+        return pd.DataFrame([(*n, root(n)[1]) for n in up], columns=["name", "node", "component"])
 
-    return _by_street(edges).groupBy("name").applyInPandas(run, "name string, node string, component string")
+    return _by_street(edges).groupBy(lot(F.col("name"), edges.sparkSession).alias("lot")).applyInPandas(run, "name string, node string, component string")
 
 
 def distances(edges: DataFrame) -> DataFrame:
