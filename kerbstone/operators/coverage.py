@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import in_polygon, segment_distance
+from .joins import shuffled
+
+_ENDS = ["ax", "ay", "bx", "by"]
 
 
 def cells_along(ax: Column, ay: Column, bx: Column, by: Column, size: float, reach: float = 0.0) -> Column:
@@ -67,23 +70,47 @@ def with_near_interval(pairs: DataFrame, radius: float) -> DataFrame:
     return step.selectExpr(*pairs.columns, *ends)
 
 
+def merged_cover(cover: DataFrame, by: list[str]) -> DataFrame:
+    """``cover`` (*by, ax, ay, bx, by) without copies, where segments parallel to an axis that meet on one line are one segment.
+
+    What lies within a radius of either lies within it of both together, so a union of intervals stays the same.
+    """
+    once = cover.select(*by, *_ENDS).distinct()
+    flat, high = F.col("ay") == F.col("by"), F.col("ax") == F.col("bx")
+    line = once.withColumn("__k", F.when(flat, F.struct(F.lit(0).alias("axis"), F.col("ay").alias("at"))).when(high, F.struct(F.lit(1).alias("axis"), F.col("ax").alias("at"))))
+    low, most = F.when(flat, F.least("ax", "bx")).otherwise(F.least("ay", "by")), F.when(flat, F.greatest("ax", "bx")).otherwise(F.greatest("ay", "by"))
+    spans = line.where("__k is not null").select(*by, "__k", low.alias("__lo"), most.alias("__hi"))
+    on = Window.partitionBy(*by, "__k").orderBy("__lo", "__hi")
+    reach = F.max("__hi").over(on.rowsBetween(Window.unboundedPreceding, -1))
+    chain = spans.withColumn("__new", F.when(F.col("__lo") <= reach, 0).otherwise(1)).withColumn("__n", F.sum("__new").over(on.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = chain.groupBy(*by, "__k", "__n").agg(F.min("__lo").alias("lo"), F.max("__hi").alias("hi"))
+    level = F.col("__k.axis") == 0
+    ends = [F.when(level, a).otherwise(b).alias(c) for c, a, b in zip(_ENDS, map(F.col, ("lo", "__k.at", "hi", "__k.at")), map(F.col, ("__k.at", "lo", "__k.at", "hi")), strict=True)]
+    return line.where("__k is null").drop("__k").unionByName(whole.select(*by, *ends))
+
+
 def covered(lines: DataFrame, cover: DataFrame, radius: float, by: list[str] | None = None, size: float | None = None) -> DataFrame:
     """(id, *by, covered): metres of each line within the radius of the cover's segments (of the same ``by``).
 
     ``lines``: id, seg, ax, ay, bx, by; ``cover``: *by, ax, ay, bx, by. Lines that nothing covers are not in the result.
+    Each different segment is compared once, however many lines have it.
     """
     by = by or []
     size = size or max(4 * radius, 50.0)
     # cells along the segments, not those of their boxes; two that share several cells meet in each, which adds nothing below
-    left = lines.withColumn("__c", F.explode(cells_along(*[F.col(c) for c in ("ax", "ay", "bx", "by")], size)))
-    right = cover.select(*by, F.col("ax").alias("cx"), F.col("ay").alias("cy"), F.col("bx").alias("dx"), F.col("by").alias("dy")).distinct()
+    lines = lines.select("id", "seg", *_ENDS).distinct()
+    left = lines.select(*_ENDS).distinct().withColumn("__c", F.explode(cells_along(*map(F.col, _ENDS), size)))
+    right = merged_cover(cover, by).select(*by, F.col("ax").alias("cx"), F.col("ay").alias("cy"), F.col("bx").alias("dx"), F.col("by").alias("dy"))
     right = right.withColumn("__d", F.explode(cells_along(*[F.col(c) for c in ("cx", "cy", "dx", "dy")], size, radius)))
-    met = left.join(right, F.col("__c") == F.col("__d")).drop("__c", "__d")
-    spans = with_near_interval(met, radius).select("id", "seg", *by, F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")).alias("len"), "t0", "t1")
-    before = Window.partitionBy("id", "seg", *by).orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
+    # boxes that are further apart than the radius need no interval
+    boxes = [F.least(a, b) - radius <= F.greatest(c, d) for a, b, c, d in (("ax", "bx", "cx", "dx"), ("cx", "dx", "ax", "bx"), ("ay", "by", "cy", "dy"), ("cy", "dy", "ay", "by"))]
+    met = left.join(shuffled(right), F.col("__c") == F.col("__d")).where(boxes[0] & boxes[1] & boxes[2] & boxes[3]).drop("__c", "__d")
+    spans = with_near_interval(met, radius).where("t0 is not null").select(*_ENDS, *by, F.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")).alias("len"), "t0", "t1")
+    before = Window.partitionBy(*_ENDS, *by).orderBy("t0", "t1").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("__p", F.max("t1").over(before))
-    fresh = F.when(F.col("t0").isNotNull(), F.greatest(F.lit(0.0), F.col("t1") - F.greatest(F.col("t0"), F.coalesce("__p", F.col("t0")))))
-    return spans.withColumn("__m", fresh * F.col("len")).groupBy("id", *by).agg(F.sum("__m").alias("covered")).where("covered > 0")
+    fresh = F.greatest(F.lit(0.0), F.col("t1") - F.greatest(F.col("t0"), F.coalesce("__p", F.col("t0"))))
+    shapes = spans.withColumn("__m", fresh * F.col("len")).groupBy(*_ENDS, *by).agg(F.sum("__m").alias("covered")).where("covered > 0")
+    return lines.join(shuffled(shapes), _ENDS).groupBy("id", *by).agg(F.sum("covered").alias("covered"))
 
 
 def covered_more_than(lines: DataFrame, lengths: DataFrame, cover: DataFrame, radius: float, share: float, by: list[str] | None = None) -> DataFrame:

@@ -20,3 +20,19 @@ def test_components_broadcast_nothing(spark):
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
     # one call of the kernel for many streets, not one for each
     assert "hashpartitioning(lot" in plan
+
+
+def test_coverage_compares_copies_once(spark, monkeypatch):
+    from kerbstone.operators import coverage
+
+    # 40 lines of one shape and one across, over 50 pieces of one street, each there twice, and a slanted one
+    lines = [(k, 0, 0.0, 5.0, 100.0, 5.0) for k in range(40)] + [(99, 0, 30.0, -40.0, 30.0, 60.0)]
+    pieces = [("t", 2.0 * k, 0.0, 2.0 * k + 2, 0.0) for k in range(30, 45)] * 2 + [("t", 2.0 * k + 3, 0.0, 2.0 * k, 0.0) for k in range(10)] + [("t", 0.0, 200.0, 50.0, 250.0)]
+    met = []
+    near = coverage.with_near_interval
+    monkeypatch.setattr(coverage, "with_near_interval", lambda pairs, radius: met.append(pairs) or near(pairs, radius))
+    found = coverage.covered(spark.createDataFrame(lines, "id int, seg int, ax double, ay double, bx double, by double"), spark.createDataFrame(pieces, "tier string, ax double, ay double, bx double, by double"), 12.0, ["tier"])
+    rows = {(r.id, r.tier): r.covered for r in found.collect()}
+    side = (144 - 25) ** 0.5
+    assert {k: round(v, 6) for k, v in rows.items()} == {**{(k, "t"): round(21 + side + 100 - (60 - side), 6) for k in range(40)}, (99, "t"): round(2 * ((144 - 81) ** 0.5), 6)}
+    assert met[0].count() <= 20  # 1,000 and more while every line met every piece
