@@ -115,7 +115,7 @@ def covered(lines: DataFrame, cover: DataFrame, radius: float, by: list[str] | N
 
 def covered_more_than(lines: DataFrame, lengths: DataFrame, cover: DataFrame, radius: float, share: float, by: list[str] | None = None) -> DataFrame:
     """(id, *by) of the lines covered for more than the share of their length."""
-    return covered(lines, cover, radius, by).join(lengths, "id").where(F.col("covered") > share * F.col("length")).select("id", *(by or []))
+    return covered(lines, cover, radius, by).join(shuffled(lengths), "id").where(F.col("covered") > share * F.col("length")).select("id", *(by or []))
 
 
 def in_first_polygon(points: DataFrame, px: str, py: str, polygons: list[tuple[str, list[tuple[float, float]]]], out: str) -> DataFrame:

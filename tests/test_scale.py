@@ -36,3 +36,8 @@ def test_coverage_compares_copies_once(spark, monkeypatch):
     side = (144 - 25) ** 0.5
     assert {k: round(v, 6) for k, v in rows.items()} == {**{(k, "t"): round(21 + side + 100 - (60 - side), 6) for k in range(40)}, (99, "t"): round(2 * ((144 - 81) ** 0.5), 6)}
     assert met[0].count() <= 20  # 1,000 and more while every line met every piece
+
+
+@tables
+def test_lengths_are_not_broadcast(spark):
+    assert "Broadcast" not in plan_of(plans.queries()["coverage_tag"](spark, FOLDER))
