@@ -149,7 +149,36 @@ def dequantised(flat: Column, scale: int = K.SCALE) -> Column:
     )
 
 
+def _six_decimals(x: Column) -> Column:
+    """The text of a double with six decimals, of its exact value and ties to even, as C prints it.
+
+    Java rounds the shortest decimal text of the double half up: 0.0078125 becomes 0.007813. Here the fraction is parted into
+    its first 26 bits and the rest, whose products with a million are exact, so that the remainder is compared exactly.
+    """
+
+    def parted(v: Column) -> Column:
+        size = F.abs(v)
+        fraction = size - F.floor(size)
+        high = F.floor(fraction * 2.0**26) / 2.0**26
+        return F.struct(F.floor(size).alias("whole"), (high * 1e6).alias("p"), ((fraction - high) * 1e6).alias("q"))
+
+    def rounded(t: Column) -> Column:
+        n = F.floor(t["p"])
+        over, rest = t["p"] - n - 0.5, -t["q"]
+        up = (over > rest) | ((over == rest) & (n % 2 == 1))
+        return F.struct(t["whole"].alias("whole"), (n + F.when(up, 1).otherwise(0)).alias("n"))
+
+    def shown(v: Column, t: Column) -> Column:
+        whole = t["whole"] + F.when(t["n"] == 1_000_000, 1).otherwise(0)
+        sign = F.when((v < 0) | (v.cast("string") == "-0.0"), "-").otherwise("")
+        return F.concat(sign, whole.cast("string"), F.lit("."), F.lpad((t["n"] % 1_000_000).cast("string"), 6, "0"))
+
+    # beyond 2^52 there are no fractions, and a long does not hold all
+    return bound(x, lambda v: F.when(F.isnan(v) | (F.abs(v) >= 2.0**52), F.format_string("%.6f", v)).otherwise(bound(bound(parted(v), rounded), lambda t: shown(v, t))))
+
+
 def wkt(parts: Column) -> Column:
     """Well-known text of the parts of a line, six decimals."""
-    rings = F.transform(parts, lambda line: F.concat(F.lit("("), F.array_join(F.transform(line, lambda p: F.format_string("%.6f %.6f", p["x"], p["y"])), ", "), F.lit(")")))
+    point = lambda p: F.concat(_six_decimals(p["x"]), F.lit(" "), _six_decimals(p["y"]))
+    rings = F.transform(parts, lambda line: F.concat(F.lit("("), F.array_join(F.transform(line, point), ", "), F.lit(")")))
     return F.when(F.size(parts) == 1, F.concat(F.lit("LINESTRING "), rings[0])).when(F.size(parts) > 1, F.concat(F.lit("MULTILINESTRING ("), F.array_join(rings, ", "), F.lit(")")))

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kerbstone.functions import names, scalars
+from kerbstone.functions import geometry, names, scalars
 from kerbstone.operators import gates, network
 from kerbstone.operators.match import _interval
 from kerbstone.sources import features
@@ -118,3 +118,9 @@ def test_bikeway_sources(spark):
     rows = spark.createDataFrame([("MAIN ST", "A", "B", "2.3A", "4", "2010", line), ("X", "A", "B", "0", "", "0", line)], "ROADWAY string, BEGINNING string, ENDING string, EXISTINGCL string, PROPOSEDCL string, YEARCURREN string, pts array<struct<x:double,y:double>>")
     got = sorted((r.status, r.bikeway_class, r.class_secondary, r.street, r.miles, r.year) for r in bikeways.from_network(rows).collect())
     assert got == [("existing", "II", "IIIA", "Main St", 1.0, "2010"), ("proposed", "IV", None, "Main St", 1.0, None)]
+
+
+def test_six_decimals_as_c_prints_them(spark):
+    values = [0.0, -0.0, 0.0078125, -0.0078125, 0.0234375, 0.1234565, 0.9999995, -4e-7, 5e-324, 564321.1234565, 2.0**51 + 0.5, 2.0**40 + 2.0**-7]
+    line = F.array(F.struct(F.col("x").alias("x"), F.col("x").alias("y")))
+    assert column(spark, values, lambda x: geometry.wkt(F.array(line)), "double") == [f"LINESTRING ({v:.6f} {v:.6f})" for v in values]
