@@ -48,11 +48,11 @@ def resolve_names(rows: DataFrame, streets: DataFrame, name: str = "name") -> Da
     A name means itself if there is such a street, else all streets with its core, else those whose core it is.
     """
     known = streets.select(F.col(name).alias("street")).distinct().withColumn("core", core_of(F.col("street")))
-    exact = rows.join(known.select("street"), rows[name] == F.col("street"), "left_semi").withColumn("street", F.col(name)).withColumn("resolved", F.col(name))
-    rest = rows.join(known.select("street"), rows[name] == F.col("street"), "left_anti").withColumn("__core", core_of(F.col(name)))
+    exact = rows.join(shuffled(known.select("street")), rows[name] == F.col("street"), "left_semi").withColumn("street", F.col(name)).withColumn("resolved", F.col(name))
+    rest = rows.join(shuffled(known.select("street")), rows[name] == F.col("street"), "left_anti").withColumn("__core", core_of(F.col(name)))
     groups = known.groupBy("core").agg(F.array_sort(F.collect_set("street")).alias("members"))
-    by_core = rest.join(groups, rest["__core"] == groups["core"], "left").drop("core").withColumnRenamed("members", "__m1")
-    by_name = by_core.join(groups.withColumnRenamed("members", "__m2"), by_core[name] == F.col("core"), "left").drop("core")
+    by_core = rest.join(shuffled(groups), rest["__core"] == groups["core"], "left").drop("core").withColumnRenamed("members", "__m1")
+    by_name = by_core.join(shuffled(groups.withColumnRenamed("members", "__m2")), by_core[name] == F.col("core"), "left").drop("core")
     members = F.coalesce("__m1", "__m2")
     loose = by_name.withColumn("__m", members).withColumn("resolved", F.get("__m", F.lit(0))).select(*rows.columns, F.explode("__m").alias("street"), "resolved")
     return exact.select(*rows.columns, "street", "resolved").unionByName(loose)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.names import is_soft, is_terminal, label_alternatives, normalize
-from .joins import resolve_names
+from .joins import resolve_names, shuffled
 from .network import Street, between, lot, size_of
 from .staging import staged
 
@@ -160,7 +160,7 @@ class _Placer:
 def _edges_for(edges: DataFrame, groups: DataFrame) -> DataFrame:
     """The edges of every group's member streets, without structs."""
     flat = edges.select(F.col("name").alias("street"), F.col("name").alias("name_"), F.col("name"), F.struct(F.col("edge.line").isNull(), "edge").alias("o"), "u", "v", "w", F.transform("pts", lambda p: p["x"]).alias("xs"), F.transform("pts", lambda p: p["y"]).alias("ys"), "u_names", "v_names")
-    return groups.join(flat, "street").withColumn("ord", F.to_json("o")).drop("o", "street")
+    return groups.join(shuffled(flat), "street").withColumn("ord", F.to_json("o")).drop("o", "street")
 
 
 def match_rows(rows: DataFrame, edges: DataFrame, occupied: DataFrame | None = None) -> DataFrame:
@@ -171,7 +171,7 @@ def match_rows(rows: DataFrame, edges: DataFrame, occupied: DataFrame | None = N
     records = staged(labelled(rows))
     members = resolve_names(records, edges.select("name").distinct().withColumnRenamed("name", "street").select(F.col("street").alias("name")), "name")
     names = members.groupBy("row_id").agg(F.min("resolved").alias("resolved"), F.array_join(F.array_sort(F.collect_set("street")), "|").alias("grp"))
-    known = records.join(names, "row_id").select("grp", "row_id", "name", "resolved", "target", *[f"{s}_{x}" for s in ("beg", "end") for x in ("wants", "terminal", "soft")])
+    known = records.join(shuffled(names), "row_id").select("grp", "row_id", "name", "resolved", "target", *[f"{s}_{x}" for s in ("beg", "end") for x in ("wants", "terminal", "soft")])
     if occupied is not None:
         taken = occupied.groupBy("name").agg(F.collect_list(F.struct("xs", "ys")).alias("taken"))
         known = known.join(taken, "name", "left")
@@ -192,7 +192,7 @@ def match_rows(rows: DataFrame, edges: DataFrame, occupied: DataFrame | None = N
 
     spark = rows.sparkSession
     placed = known.groupBy(lot(F.col("grp"), spark).alias("lot")).cogroup(_edges_for(edges, groups).groupBy(lot(F.col("group"), spark).alias("lot"))).applyInPandas(run, _OUT)
-    lost = records.join(names, "row_id", "left_anti").select("row_id", F.lit(False).alias("ok"), F.lit("street name not in centerlines").alias("reason"), *[F.lit(None).cast(t).alias(c) for c, t in (("method", "string"), ("length_err", "double"), ("matched_ft", "long"), ("xs", "array<double>"), ("ys", "array<double>"))])
+    lost = records.join(shuffled(names), "row_id", "left_anti").select("row_id", F.lit(False).alias("ok"), F.lit("street name not in centerlines").alias("reason"), *[F.lit(None).cast(t).alias(c) for c, t in (("method", "string"), ("length_err", "double"), ("matched_ft", "long"), ("xs", "array<double>"), ("ys", "array<double>"))])
     return placed.unionByName(lost)
 
 

@@ -102,7 +102,7 @@ def bridged(edges: DataFrame, nodes: DataFrame, most: float = K.BRIDGE_M) -> Dat
     """
     at = nodes.select("node", "x", "y")
     several = edges.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    ends = edges.select("name", "u", "v").join(several, "name", "left_semi").join(at.select(F.col("node").alias("u"), F.col("x").alias("ux"), F.col("y").alias("uy")), "u").join(at.select(F.col("node").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy")), "v")
+    ends = edges.select("name", "u", "v").join(shuffled(several), "name", "left_semi").join(shuffled(at.select(F.col("node").alias("u"), F.col("x").alias("ux"), F.col("y").alias("uy"))), "u").join(shuffled(at.select(F.col("node").alias("v"), F.col("x").alias("vx"), F.col("y").alias("vy"))), "v")
     flat = ends.select("name", F.col("u.i").alias("ui"), F.col("u.j").alias("uj"), F.col("v.i").alias("vi"), F.col("v.j").alias("vj"), "ux", "uy", "vx", "vy")
 
     def run(many: pd.DataFrame) -> pd.DataFrame:
@@ -133,8 +133,8 @@ def network(features: DataFrame, name: str = "FULLNAME") -> DataFrame:
     whole = bridged(edges, nodes)
     names = nodes.select("node", "names")
     return staged(
-        whole.join(names.select(F.col("node").alias("u"), F.col("names").alias("u_names")), "u")
-        .join(names.select(F.col("node").alias("v"), F.col("names").alias("v_names")), "v")
+        whole.join(shuffled(names.select(F.col("node").alias("u"), F.col("names").alias("u_names"))), "u")
+        .join(shuffled(names.select(F.col("node").alias("v"), F.col("names").alias("v_names"))), "v")
         .select("name", core_of(F.col("name")).alias("core"), "edge", F.concat_ws(",", "u.i", "u.j").alias("u"), F.concat_ws(",", "v.i", "v.j").alias("v"), "w", "pts", "u_names", "v_names")
     )
 

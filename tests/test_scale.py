@@ -41,3 +41,9 @@ def test_coverage_compares_copies_once(spark, monkeypatch):
 @tables
 def test_lengths_are_not_broadcast(spark):
     assert "Broadcast" not in plan_of(plans.queries()["coverage_tag"](spark, FOLDER))
+
+
+@tables
+@pytest.mark.parametrize("name", ["linref_match", "linref_two_pass", "city_sections", "moratorium_placed", "plan_placed"])
+def test_placing_joins_without_broadcasts(spark, name):
+    assert "BroadcastHashJoin" not in plan_of(plans.queries()[name](spark, FOLDER))  # one row of counts may be
