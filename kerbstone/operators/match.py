@@ -174,7 +174,7 @@ def match_rows(rows: DataFrame, edges: DataFrame, occupied: DataFrame | None = N
     known = records.join(shuffled(names), "row_id").select("grp", "row_id", "name", "resolved", "target", *[f"{s}_{x}" for s in ("beg", "end") for x in ("wants", "terminal", "soft")])
     if occupied is not None:
         taken = occupied.groupBy("name").agg(F.collect_list(F.struct("xs", "ys")).alias("taken"))
-        known = known.join(taken, "name", "left")
+        known = known.join(shuffled(taken), "name", "left")
     else:
         known = known.withColumn("taken", F.lit(None).cast("array<struct<xs:array<double>,ys:array<double>>>"))
     groups = names.select(F.col("grp").alias("group")).distinct().select("group", F.explode(F.split("group", r"\|")).alias("street"))
@@ -200,6 +200,6 @@ def match_two_pass(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """Rows that the first pass does not place are tried again beside what it placed on their street."""
     first = staged(match_rows(rows, edges))
     named = rows.select("row_id", normalize(F.col("street_name")).alias("name"))
-    occupied = first.where("ok").join(named, "row_id").select("name", "xs", "ys")
-    second = match_rows(rows.join(first.where("not ok").select("row_id"), "row_id", "left_semi"), edges, occupied)
+    occupied = first.where("ok").join(shuffled(named), "row_id").select("name", "xs", "ys")
+    second = match_rows(rows.join(shuffled(first.where("not ok").select("row_id")), "row_id", "left_semi"), edges, occupied)
     return first.where("ok").withColumn("pass", F.lit(1)).unionByName(second.withColumn("pass", F.lit(2)))
