@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import geometry as G
-from ..operators import bikeways, match, network, overlays
+from ..operators import bikeways, joins, match, network, overlays
 from ..sources import features
 from ..sources.sinks import feature
 from ..sources.tables import table
@@ -26,7 +26,7 @@ def city_sections(spark: SparkSession, d: str) -> DataFrame:
     """A city joined to its streets: the records placed in two passes, in the section schema."""
     rows = fixture.records(spark, d)
     found = match.match_two_pass(rows, network.network(fixture.streets(spark, d))).where("ok")
-    both = rows.join(found.select("row_id", "length_err", "method", "xs", "ys"), "row_id").withColumn("score", F.when(F.col("row_id") % 9 != 0, F.col("row_id") % 101).cast("string"))
+    both = rows.join(joins.shuffled(found.select("row_id", "length_err", "method", "xs", "ys")), "row_id").withColumn("score", F.when(F.col("row_id") % 9 != 0, F.col("row_id") % 101).cast("string"))
     made = overlays.sections(both, "Town", {"street": "street_name", "section_id": "row_id", "from": "beg_location", "to": "end_location", "pci": "score", "length_ft": "length_ft", "match_length_err": "length_err", "match_method": "method"})
     return made.select(*[c for c in made.columns if c not in ("xs", "ys", "from", "to")], F.size("xs").alias("points"))
 
