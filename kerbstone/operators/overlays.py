@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.geometry import to_degrees
 from ..functions.scalars import active, blank_to_null
+from .joins import shuffled
 from .match import match_rows
 
 #: The columns of a section, whichever report it comes from.
@@ -34,7 +35,7 @@ def placed(rows: DataFrame, edges: DataFrame, miles: str | None = None) -> DataF
     """
     length = F.col(miles).cast("double") * K.FT_PER_MILE if miles else F.lit(None).cast("double")
     found = match_rows(rows.select("row_id", "street_name", "beg_location", "end_location", length.alias("length_ft")), edges)
-    return rows.join(found, "row_id")
+    return rows.join(shuffled(found), "row_id")
 
 
 def overlay_report(found: DataFrame) -> DataFrame:
