@@ -53,6 +53,7 @@ def plan_placed(spark: SparkSession, d: str) -> DataFrame:
     found = overlays.placed(_plan_rows(spark, d), network.network(fixture.streets(spark, d)), "miles")
     made = overlays.plan_features(found)
     shown = overlays.as_plan(made.withColumn("key", F.col("row_id")), "Town", F.concat(F.col("row_id").cast("string"), F.lit(": "), F.coalesce(overlays.treatment_and_cost(), F.lit("?"))), F.concat_ws(" ", "plan", F.col("fiscal_year").cast("string"))).select("detail", "label")
+    shown = joins.shuffled(shown)
     return made.select("fiscal_year", "pci", F.round("miles", 6).alias("miles"), F.concat(F.col("row_id").cast("string"), F.lit(": "), F.coalesce(overlays.treatment_and_cost(), F.lit("?"))).alias("detail")).join(shown, "detail")
 
 
